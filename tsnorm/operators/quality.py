@@ -8,6 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def duplicate_names(cells: DataFrame) -> DataFrame:
+    """Names one file uses more than once, from ``source_file, name`` rows: ``source_file, name, n``."""
+    return cells.groupBy("source_file", "name").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def shared_names(cells: DataFrame) -> DataFrame:
+    """Names used by more than one file, from ``source_file, name`` rows: ``name, n_files``."""
+    used = cells.select("source_file", "name").distinct()
+    return used.groupBy("name").agg(F.count("*").alias("n_files")).where("n_files > 1")
+
+
 def quality_report(
     rows: DataFrame, keys: Sequence[str], ids: Sequence[str], text_ts: Column, ts: Column, text_value: Column, value: Column
 ) -> DataFrame:

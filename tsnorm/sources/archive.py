@@ -14,12 +14,14 @@ from tsnorm.functions.names import sanitize_name
 from tsnorm.functions.times import DEFAULT_FORMATS, parse_ts, round_ms
 from tsnorm.functions.values import lenient_double, lenient_long, tag_key
 from tsnorm.operators.dedupe import last_wins
+from tsnorm.operators.merge import union_all
+from tsnorm.operators.quality import duplicate_names
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.scan import (
     CsvOptions,
     NoData,
     Readings,
-    duplicate_header_names,
+    header_cells,
     read_headers,
     reject_duplicates,
     scan_cells,
@@ -65,7 +67,7 @@ def read_archive(
     frame = headers.frame
     keys = ("source_file",) if per_file else ()
     if per_file:
-        bad = duplicate_header_names(frame).select("source_file").distinct()
+        bad = duplicate_names(header_cells(frame)).select("source_file").distinct()
         frame = frame.where("width >= 6").join(bad, "source_file", "left_anti")
         frame = frame.select("source_file", *[F.lit(i + 1).alias(f"p{i}") for i in range(6)])
     else:
@@ -106,9 +108,7 @@ def read_archive(
             lenient_double(picked["value"]).alias("value"),
             F.struct(F.lit(entry).alias("entry"), "source_file", "block", "row").alias("ord"),
         ))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
+    rows = union_all(parts)
 
     tags = Small(tag_dimension(rows, keys), scratch, "tags")
     if tags.rows is not None:

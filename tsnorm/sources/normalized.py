@@ -11,12 +11,14 @@ from tsnorm.functions.names import BIAS_NAMES, sanitize_name
 from tsnorm.functions.times import DEFAULT_FORMATS, parse_ts, round_ms
 from tsnorm.functions.values import lenient_double
 from tsnorm.operators.dedupe import last_wins
+from tsnorm.operators.merge import union_all
+from tsnorm.operators.quality import duplicate_names
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.scan import (
     CsvOptions,
     NoData,
     Readings,
-    duplicate_header_names,
+    header_cells,
     one_layout,
     read_headers,
     reject_duplicates,
@@ -83,7 +85,7 @@ def read_normalized(
     headers = read_headers(spark, paths, opts, scratch)
     frame = headers.frame
     if per_file:
-        bad = duplicate_header_names(frame).select("source_file").distinct()
+        bad = duplicate_names(header_cells(frame)).select("source_file").distinct()
         frame = frame.join(bad, "source_file", "left_anti")
     else:
         reject_duplicates(frame)
@@ -114,9 +116,7 @@ def read_normalized(
             *keys, "instrument", "ts", "value", "series",
             F.struct("series", F.lit(entry).alias("entry"), "source_file").alias("ord"),
         ))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    out = union_all(parts)
     instruments = cols.frame.select(*keys, F.explode("cols.instrument").alias("instrument")).distinct()
     single = per_file or (headers.rows is not None and len(headers.rows) == 1)
     return Readings(out, keys, instruments, single and no_name_twice(cols))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tsnorm.functions.values import null_tokens
+from tsnorm.operators.merge import union_all
+from tsnorm.operators.quality import duplicate_names
 from tsnorm.session import Scratch, Small
 
 # A separator no logger file contains: the CSV source then gives whole lines.
@@ -124,9 +126,7 @@ def first_lines(spark: SparkSession, paths: Sequence[str], opts: CsvOptions) ->
         lines = scan_lines(spark, path, opts, header=False).where("block = 0")
         parts.append(lines.groupBy("source_file").agg(F.min_by("line", "row").alias("line")).select(
             F.lit(entry).alias("entry"), "source_file", "line"))
-    frame = parts[0]
-    for part in parts[1:]:
-        frame = frame.unionByName(part)
+    frame = union_all(parts)
     unquoted = F.regexp_replace("line", '"([^"]|"")*"', "")
     sep = F.lit(opts.sep if len(opts.sep) > 1 else rf"\Q{opts.sep}\E")
     return frame.withColumn("width", (F.regexp_count(unquoted, sep) + 1).cast("int"))
@@ -157,20 +157,13 @@ def read_headers(spark: SparkSession, paths: Sequence[str], opts: CsvOptions, sc
     return Headers(small.frame, small.rows, width)
 
 
-def duplicate_header_names(headers: DataFrame) -> DataFrame:
-    """Names a file uses more than once: ``entry, source_file, name, n``."""
-    cells = headers.select("entry", "source_file", F.explode("names").alias("name")).where("name is not null")
-    return cells.groupBy("entry", "source_file", "name").agg(F.count("*").alias("n")).where("n > 1")
-
-
-def shared_header_names(headers: DataFrame) -> DataFrame:
-    """Names that files of more than one entry use: ``name, n_entries``."""
-    cells = headers.select("entry", F.explode("names").alias("name")).where("name is not null").distinct()
-    return cells.groupBy("name").agg(F.count("*").alias("n_entries")).where("n_entries > 1")
+def header_cells(headers: DataFrame) -> DataFrame:
+    """One row per header cell: ``entry, source_file, name``."""
+    return headers.select("entry", "source_file", F.explode("names").alias("name")).where("name is not null")
 
 
 def reject_duplicates(headers: DataFrame) -> None:
-    found = duplicate_header_names(headers).orderBy("source_file", "name").limit(20).collect()
+    found = duplicate_names(header_cells(headers)).orderBy("source_file", "name").limit(20).collect()
     if found:
         raise DuplicateColumns("; ".join(f"{r.source_file}: column {r.name!r} occurs {r.n} times" for r in found))
 

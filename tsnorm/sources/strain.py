@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tsnorm.functions.names import sanitize_name, unit_label
 from tsnorm.functions.times import FALLBACK_PATTERNS, elapsed_to_ts, elapsed_unit_us, round_ms
+from tsnorm.operators.merge import union_all
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.normalized import explode_values, value_array
 from tsnorm.sources.scan import (
@@ -99,10 +100,9 @@ def read_strain(
     keys = ("source_file",) if per_file else ()
     scans = [scan_lines(spark, path, opts, header=False) for path in paths]
 
-    heads = None
-    for entry, lines in enumerate(scans):
-        part = read_preambles(lines, opts, width).withColumn("entry", F.lit(entry))
-        heads = part if heads is None else heads.unionByName(part)
+    heads = union_all([
+        read_preambles(lines, opts, width).withColumn("entry", F.lit(entry)) for entry, lines in enumerate(scans)
+    ])
     heads = Small(heads, scratch, "preambles").frame
     whole = F.lit(True)
     for column in PROBLEMS:
@@ -146,8 +146,6 @@ def read_strain(
             *keys, "instrument", "ts", "value", "series",
             F.struct("series", F.lit(entry).alias("entry"), "source_file", "block", "row").alias("ord"),
         ))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    out = union_all(parts)
     # a column without any value is no instrument here, so the data decides
     return Readings(out, keys, out.select(*keys, "instrument").distinct(), False)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tsnorm.functions.names import sanitize_name, trend_name
 from tsnorm.functions.times import DEFAULT_FORMATS, parse_ts, round_ms
 from tsnorm.functions.values import lenient_double
+from tsnorm.operators.merge import union_all
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.scan import CsvOptions, NoData, Readings, one_layout, read_headers, scan_cells, value_columns
 
@@ -66,8 +67,6 @@ def read_trend(
             F.struct("series", "source_file", "block", "row").alias("ord"),
         )
         parts.append(long.where("ts is not null and value is not null"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    out = union_all(parts)
     instruments = cols.frame.select(*keys, F.explode("cols.instrument").alias("instrument")).distinct()
     return Readings(out, keys, instruments, False)
