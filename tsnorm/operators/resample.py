@@ -71,24 +71,26 @@ def resample_with_bounds(readings: DataFrame, stats: Sequence[str], keys: Sequen
     )
 
 
-def series_modes(sampled: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Bounds and direction of every instrument from :func:`resample_with_bounds`.
-
-    An instrument is downsampled when the period is at least its smallest sample gap. Two
-    readings in one period prove that; else every period has one reading and the gaps between
-    periods are all gaps there are.
-    """
-    named = [*keys, "instrument"]
-    bounds = sampled.groupBy(*named, "period_us").agg(
+def series_bounds(sampled: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """First and last time of every instrument and ``fullest``, the readings of its fullest period."""
+    return sampled.groupBy(*keys, "instrument", "period_us").agg(
         F.min("first_us").alias("first_us"),
         F.max("last_us").alias("last_us"),
-        F.sum("n").alias("n"),
         F.max("n").alias("fullest"),
     )
+
+
+def series_modes(sampled: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """:func:`series_bounds` with ``down``: whether an instrument is downsampled.
+
+    It is when the period is at least its smallest sample gap. Two readings in one period prove
+    that; else every period has one reading and the gaps between periods are all gaps there are.
+    """
+    named = [*keys, "instrument"]
     gaps = min_gap(sampled.select(*named, F.col("first_us").alias("us")), named)
     down = (F.col("fullest") >= 2) | F.coalesce(F.col("gap_us") <= F.col("period_us"), F.lit(False))
-    return bounds.join(gaps, named, "left").select(
-        *named, "period_us", "first_us", "last_us", "n", down.alias("down"))
+    return series_bounds(sampled, keys).join(gaps, named, "left").select(
+        *named, "period_us", "first_us", "last_us", down.alias("down"))
 
 
 def label_us(down: Column, bucket: Column, first: Column, period_us: Column) -> Column:

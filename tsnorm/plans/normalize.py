@@ -15,7 +15,7 @@ from tsnorm.operators.fill import align, carried_rows, fill_chunks, fill_zero
 from tsnorm.operators.filters import time_range
 from tsnorm.operators.grid import CHUNK_POINTS, GRID_COLUMNS, Grid, GridTooLarge, grid_bounds
 from tsnorm.operators.period import common_period
-from tsnorm.operators.resample import label_us, parse_stats, resample_with_bounds, series_modes
+from tsnorm.operators.resample import label_us, parse_stats, resample_with_bounds, series_bounds, series_modes
 from tsnorm.operators.reshape import wide_columns, wide_pivot
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.read import read
@@ -38,7 +38,7 @@ class Aligned:
 
     sampled: DataFrame
     instruments: DataFrame
-    modes: list[dict] | None
+    listed: list[dict] | None
     grid: Grid | None
     stats: list[str]
     keys: tuple[str, ...]
@@ -57,11 +57,11 @@ class Aligned:
         """
         if self.keys:
             raise ValueError("the wide table is for one data set; use long() for many files")
-        if self.modes is None:
+        if self.listed is None:
             raise ValueError("too many instruments for columns; use long()")
-        single = {m["instrument"] for m in self.modes if m["down"] is False}
-        columns = wide_columns([m["instrument"] for m in self.modes], self.stats, single)
-        chunk = max(1, min(CHUNK_POINTS, WIDE_CHUNK_CELLS // len(self.modes), self.grid.points // 64))
+        single = {m["instrument"] for m in self.listed if m["down"] is False}
+        columns = wide_columns([m["instrument"] for m in self.listed], self.stats, single)
+        chunk = max(1, min(CHUNK_POINTS, WIDE_CHUNK_CELLS // len(self.listed), self.grid.points // 64))
         rows = carried_rows(self.sampled, self.instruments, self.stats, (), self.grid, chunk)
         rows = fill_chunks(rows.repartition("chunk"), self.stats, (), self.grid, chunk)
         return wide_pivot(rows, columns, clustered=["chunk"])
@@ -113,52 +113,57 @@ def normalize(
             rows = rows.withColumn("period_us", F.lit(found.first()[0]).cast("bigint"))
 
     sampled = scratch.table(resample_with_bounds(rows, chosen, keys), "sampled")
-    modes = Small(series_modes(sampled, keys), scratch, "modes")
-    instruments = modes.frame
+    bounds = Small(series_bounds(sampled, keys), scratch, "bounds")
+    if bounds.rows is not None and all(b["fullest"] >= 2 for b in bounds.rows):
+        modes, mixed = bounds.frame.withColumn("down", F.lit(True)), False
+    else:
+        small = Small(series_modes(sampled, keys), scratch, "modes")
+        modes, mixed = small.frame, small.rows is None or not all(m["down"] for m in small.rows)
+    seeds = modes.select(*named, "down")
     if readings.instruments is not None:
-        instruments = readings.instruments.join(modes.frame, named, "left")
-
+        seeds = readings.instruments.join(seeds, named, "left")
+
+    ends = modes.groupBy(*keys).agg(
+        F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"),
+        F.first("period_us").alias("period_us"))
+    grids = ends.where("first_us is not null").select(
+        *keys, *grid_bounds(F.col("first_us"), F.col("last_us"), F.col("period_us"), start_us, end_us))
+    listed = None
     if keys:
-        ends = modes.frame.groupBy(*keys).agg(
-            F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"),
-            F.first("period_us").alias("period_us"))
-        grids = Small(ends.select(
-            *keys, *grid_bounds(F.col("first_us"), F.col("last_us"), F.col("period_us"), start_us, end_us)
-        ), scratch, "grids").frame
-        sized = instruments.select(*named).join(grids, list(keys))
-        total = sized.agg(F.sum("points")).first()[0]
-        grid, rows = None, None
+        grid = None
+        grids = Small(grids, scratch, "grids").frame
+        seeds = seeds.join(grids, list(keys))
+        total = seeds.agg(F.sum("points")).first()[0]
         sampled = sampled.drop("period_us").join(grids, list(keys))
-        seeds = sized
     else:
-        ends = modes.frame.agg(F.min("first_us").alias("a"), F.max("last_us").alias("b"), F.first("period_us").alias("p"))
-        found = ends.where("a is not null").select(
-            *grid_bounds(F.col("a"), F.col("b"), F.col("p"), start_us, end_us)).first()
+        found = grids.first()
         if found is None:
             raise NoData("no data found: no reading has a valid time and value")
         grid = Grid(*[found[c] for c in GRID_COLUMNS])
-        listed = Small(instruments.select("instrument", "down"), scratch, "instruments")
-        modes = listed
-        seeds = listed.frame.select("instrument")
-        total = grid.points * (len(listed.rows) if listed.rows is not None else seeds.count())
+        small = Small(seeds, scratch, "instruments")
+        seeds, listed = small.frame, small.rows
+        total = grid.points * (len(listed) if listed is not None else seeds.count())
     if total is None:
         raise NoData("no data found: no reading has a valid time and value")
     if total > max_cells:
         raise GridTooLarge(f"{total} grid cells; choose a longer period or a shorter range, or raise max_cells")
 
-    sampled = _labelled(sampled, modes, keys, grid, chosen, gap)
-    return Aligned(sampled, seeds, None if keys else modes.rows, grid, chosen, keys, scratch)
+    sampled = _labelled(sampled, modes if mixed else None, keys, grid, chosen, gap)
+    return Aligned(sampled, seeds, listed, grid, chosen, keys, scratch)
 
 
 def _labelled(
-    sampled: DataFrame, modes: Small, keys: Sequence[str], grid: Grid | None, stats: Sequence[str], gap: str
+    sampled: DataFrame, modes: DataFrame | None, keys: Sequence[str], grid: Grid | None, stats: Sequence[str], gap: str
 ) -> DataFrame:
-    """Sampled rows with the grid ``point`` from which each is valid, upsampled ones with the raw value."""
+    """Sampled rows with the grid ``point`` from which each is valid; upsampled ones keep the raw value.
+
+    ``modes`` says which are upsampled; None when none is.
+    """
     named = [*keys, "instrument"]
-    if modes.rows is not None and all(m["down"] is not False for m in modes.rows):
+    if modes is None:
         rows = sampled.withColumn("down", F.lit(True))
     else:
-        rows = sampled.join(modes.frame.select(*named, "down"), named)
+        rows = sampled.join(modes.select(*named, "down"), named)
     start = F.col("grid_start") if grid is None else F.lit(grid.grid_start)
     step = F.col("period_us") if grid is None else F.lit(grid.period_us)
     points = F.col("points") if grid is None else F.lit(grid.points)

@@ -15,16 +15,15 @@ from tsnorm.functions.times import DEFAULT_FORMATS, parse_ts, round_ms
 from tsnorm.functions.values import lenient_double, lenient_long, tag_key
 from tsnorm.operators.dedupe import last_wins
 from tsnorm.operators.merge import union_all
-from tsnorm.operators.quality import duplicate_names
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.scan import (
     CsvOptions,
     NoData,
     Readings,
-    header_cells,
     read_headers,
     reject_duplicates,
     scan_cells,
+    without_duplicates,
 )
 
 ROLES = ["tag_id", "tag_name", "time", "data_source", "value", "quality"]
@@ -67,12 +66,14 @@ def read_archive(
     frame = headers.frame
     keys = ("source_file",) if per_file else ()
     if per_file:
-        bad = duplicate_names(header_cells(frame)).select("source_file").distinct()
-        frame = frame.where("width >= 6").join(bad, "source_file", "left_anti")
+        frame = without_duplicates(headers).where("width >= 6")
         frame = frame.select("source_file", *[F.lit(i + 1).alias(f"p{i}") for i in range(6)])
     else:
-        reject_duplicates(frame)
-        base = frame.agg(F.min_by(F.struct("width", "names"), F.struct("entry", "source_file"))).first()[0]
+        reject_duplicates(headers)
+        if headers.rows is not None:
+            base = min(headers.rows, key=lambda r: (r["entry"], r["source_file"]))
+        else:
+            base = frame.agg(F.min_by(F.struct("width", "names"), F.struct("entry", "source_file"))).first()[0]
         if base["width"] < 6:
             raise NoData(f"no data found: an archive file has 6 columns, this one {base['width']}")
         # merge files are aligned to the base file by column name

@@ -12,18 +12,17 @@ from tsnorm.functions.times import DEFAULT_FORMATS, parse_ts, round_ms
 from tsnorm.functions.values import lenient_double
 from tsnorm.operators.dedupe import last_wins
 from tsnorm.operators.merge import union_all
-from tsnorm.operators.quality import duplicate_names
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.scan import (
     CsvOptions,
     NoData,
     Readings,
-    header_cells,
     one_layout,
     read_headers,
     reject_duplicates,
     scan_cells,
     value_columns,
+    without_duplicates,
 )
 
 
@@ -85,10 +84,9 @@ def read_normalized(
     headers = read_headers(spark, paths, opts, scratch)
     frame = headers.frame
     if per_file:
-        bad = duplicate_names(header_cells(frame)).select("source_file").distinct()
-        frame = frame.join(bad, "source_file", "left_anti")
+        frame = without_duplicates(headers)
     else:
-        reject_duplicates(frame)
+        reject_duplicates(headers)
     cells = frame.select("entry", "source_file", F.posexplode("names").alias("pos", "raw")).where(
         F.col("raw").isNotNull() & ~F.col("raw").isin(BIAS_NAMES) & (F.col("pos") > 0)
     )

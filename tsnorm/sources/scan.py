@@ -146,7 +146,10 @@ class Headers:
 
 def read_headers(spark: SparkSession, paths: Sequence[str], opts: CsvOptions, scratch: Scratch) -> Headers:
     lines = Small(first_lines(spark, paths, opts), scratch, "first_lines")
-    width = lines.frame.agg(F.max("width")).first()[0]
+    if lines.rows is not None:
+        width = max((r["width"] for r in lines.rows), default=None)
+    else:
+        width = lines.frame.agg(F.max("width")).first()[0]
     if width is None:
         raise NoData("no data found: the input files are empty")
     cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
@@ -162,12 +165,27 @@ def header_cells(headers: DataFrame) -> DataFrame:
     return headers.select("entry", "source_file", F.explode("names").alias("name")).where("name is not null")
 
 
-def reject_duplicates(headers: DataFrame) -> None:
-    found = duplicate_names(header_cells(headers)).orderBy("source_file", "name").limit(20).collect()
+def reject_duplicates(headers: Headers) -> None:
+    if headers.rows is not None and all(_no_repeats(r["names"]) for r in headers.rows):
+        return
+    found = duplicate_names(header_cells(headers.frame)).orderBy("source_file", "name").limit(20).collect()
     if found:
         raise DuplicateColumns("; ".join(f"{r.source_file}: column {r.name!r} occurs {r.n} times" for r in found))
 
 
+def without_duplicates(headers: Headers) -> DataFrame:
+    """Headers of the files that name no column twice."""
+    if headers.rows is not None and all(_no_repeats(r["names"]) for r in headers.rows):
+        return headers.frame
+    bad = duplicate_names(header_cells(headers.frame)).select("source_file").distinct()
+    return headers.frame.join(bad, "source_file", "left_anti")
+
+
+def _no_repeats(names: list[str | None]) -> bool:
+    given = [n for n in names if n is not None]
+    return len(set(given)) == len(given)
+
+
 def value_columns(headers: DataFrame, per_file: bool, by_name: bool) -> DataFrame:
     """Which columns hold which instrument, one row per file.
 

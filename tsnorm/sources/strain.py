@@ -84,7 +84,7 @@ def read_preambles(lines: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
     start_text = F.trim(F.regexp_extract("start", "^[^:]*:(.*)$", 1))
     start = F.coalesce(*[F.try_to_timestamp(start_text, F.lit(p)) for p in FALLBACK_PATTERNS])
     return files.join(labels, "source_file", "left").select(
-        "source_file", "id_col", "id_at",
+        "source_file", "id_col", F.col("id_at.block").alias("id_block"), F.col("id_at.row").alias("id_row"),
         F.unix_micros(start).alias("start_us"),
         elapsed_unit_us(F.col("elapsed")).alias("unit_us"),
         "tags", "units",
@@ -122,13 +122,13 @@ def read_strain(
             raise DuplicateColumns(f"{repeated[0].source_file}: tag {repeated[0].raw!r} occurs twice")
     cells = cells.withColumn("instrument", sanitize_name(F.col("raw")))
     cols = Small(value_columns(cells, per_file, by_name=True), scratch, "columns")
-    heads = Small(heads.select("entry", "source_file", "id_col", "id_at", "start_us", "unit_us"), scratch, "heads")
+    heads = Small(heads.select("entry", "source_file", "id_col", "id_block", "id_row", "start_us", "unit_us"), scratch, "heads")
 
     parts = []
     for entry, lines in enumerate(scans):
         # the same line scan as for the preamble, so row positions are comparable
         rows = lines.join(heads.frame.where(F.col("entry") == entry).drop("entry"), "source_file")
-        rows = rows.where(F.struct("block", "row") > F.col("id_at")).drop("id_at")
+        rows = rows.where("block > id_block or (block = id_block and row > id_row)").drop("id_block", "id_row")
         rows = parse_lines(rows, opts, width)
         known = None if heads.rows is None else {h["id_col"] for h in heads.rows if h["entry"] == entry}
         if known is not None and len(known) == 1:
