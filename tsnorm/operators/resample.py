@@ -85,10 +85,12 @@ def series_modes(sampled: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
     It is when the period is at least its smallest sample gap. Two readings in one period prove
     that; else every period has one reading and the gaps between periods are all gaps there are.
+    An instrument with a single reading has no gap; filled forward it could start after the
+    grid's end, so it counts as downsampled.
     """
     named = [*keys, "instrument"]
     gaps = min_gap(sampled.select(*named, F.col("first_us").alias("us")), named)
-    down = (F.col("fullest") >= 2) | F.coalesce(F.col("gap_us") <= F.col("period_us"), F.lit(False))
+    down = (F.col("fullest") >= 2) | F.coalesce(F.col("gap_us") <= F.col("period_us"), F.lit(True))
     return series_bounds(sampled, keys).join(gaps, named, "left").select(
         *named, "period_us", "first_us", "last_us", down.alias("down"))
 

@@ -61,7 +61,7 @@ def write_files(
     ones, and sorted by time and instrument in each part.
     """
     shown = long.withColumn("source_file", export_name(F.col("source_file")))
-    parts = shown.hint("rebalance", F.col("source_file"), F.col("timestamp").cast("date"))
+    parts = shown.hint("rebalance", F.col("source_file"))
     parts = parts.sortWithinPartitions("source_file", "timestamp", "instrument")
     parts = parts.withColumn("timestamp", format_ts(F.col("timestamp"), time_format))
     parts.write.mode("overwrite").partitionBy("source_file").options(**_options(sep, encoding)).csv(path)
