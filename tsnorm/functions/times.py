@@ -30,15 +30,17 @@ DEFAULT_FORMATS = {
 }
 
 # Patterns tried, in this order, on a cell the declared format rejects.
-FALLBACK_PATTERNS = [
+DASH_PATTERNS = [
     "yyyy-M-d H:m:s[.SSSSSSSSS]",
     "yyyy-M-d'T'H:m:s[.SSSSSSSSS]",
+    "yyyy-M-d H:m",
+    "yyyy-M-d",
+]
+SLASH_PATTERNS = [
     "M/d/yyyy h:m:s[.SSSSSSSSS] a",
     "M/d/yyyy H:m:s[.SSSSSSSSS]",
-    "yyyy-M-d H:m",
     "M/d/yyyy h:m a",
     "M/d/yyyy H:m",
-    "yyyy-M-d",
     "M/d/yyyy",
 ]
 
@@ -79,8 +81,21 @@ def write_pattern(fmt: str) -> str:
     return _translate(fmt, WRITE_CODES, None)
 
 
+def infer_ts(text: Column) -> Column:
+    """Timestamp of a cell in one of the usual layouts, else NULL.
+
+    A failed pattern costs an exception in the JVM, so text that cannot be a date is told
+    apart first and only the patterns with its separator are tried.
+    """
+    def first_of(patterns: list[str]) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns])
+
+    return F.when(text.rlike(r"^\d{4}-\d"), first_of(DASH_PATTERNS)).when(
+        text.rlike(r"^\d{1,2}/\d"), first_of(SLASH_PATTERNS))
+
+
 def parse_ts(text: Column, fmt: str) -> Column:
-    """Timestamp of a text cell; NULL when neither ``fmt`` nor a fallback pattern fits.
+    """Timestamp of a text cell; NULL when neither ``fmt`` nor a usual layout fits.
 
     The ISO layout goes through the cast, about six times faster than a pattern.
     """
@@ -88,7 +103,7 @@ def parse_ts(text: Column, fmt: str) -> Column:
         first = text.try_cast("timestamp")
     else:
         first = F.try_to_timestamp(text, F.lit(read_pattern(fmt)))
-    return F.coalesce(first, *[F.try_to_timestamp(text, F.lit(p)) for p in FALLBACK_PATTERNS])
+    return F.coalesce(first, infer_ts(text))
 
 
 def round_ms(ts: Column, text: Column | None = None) -> Column:

@@ -7,8 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one key are matched minute by minute.
-CHUNK_US = 60_000_000
+# Times one window partition should hold at most, if a single key had all rows.
+CHUNK_ROWS = 2_000_000
+
+
+def chunk_size(times: DataFrame) -> int:
+    """Length in microseconds of chunks with about ``CHUNK_ROWS`` rows each, at least a millisecond.
+
+    One pass over the time column; chunks that are too short for the data would leave many
+    rows alone in theirs, chunks that are too long would make a busy key one task.
+    """
+    us = F.unix_micros(F.col("at").cast("timestamp"))
+    n, low, high = times.agg(F.count("at"), F.min(us), F.max(us)).first()
+    if not n:
+        return 1_000
+    return max(1_000, (high - low + 1) * CHUNK_ROWS // n)
+
+
+def asof_times(times: DataFrame, by: Sequence[str], chunk_us: int) -> DataFrame:
+    """Time of the last right row at or before every wanted time: ``by, at, match_at``.
+
+    ``times`` has ``by, at, wanted, known``: times asked for and times of right rows. Within a
+    chunk of time that is a running maximum; a window over one row per chunk carries the last
+    time into the next ones. Only keys and times move, and no window holds all of a key.
+    """
+    distinct = times.where("at is not null").groupBy(*by, "at").agg(
+        F.max("wanted").alias("wanted"), F.max("known").alias("known"))
+    us = F.unix_micros(F.col("at").cast("timestamp"))
+    distinct = distinct.withColumn("chunk", us - F.pmod(us, F.lit(chunk_us)))
+    known_at = F.when(F.col("known"), F.col("at"))
+
+    last = distinct.groupBy(*by, "chunk").agg(F.max(known_at).alias("last"))
+    across = Window.partitionBy(*by).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(*by, "chunk", F.max("last").over(across).alias("carry"))
+    inside = Window.partitionBy(*by, "chunk").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = distinct.withColumn("match_at", F.max(known_at).over(inside)).where("wanted")
+    return seen.join(carry, [*by, "chunk"]).select(*by, "at", F.coalesce("match_at", "carry").alias("match_at"))
 
 
 def asof_backward(
@@ -18,39 +52,26 @@ def asof_backward(
     left_on: str,
     right_on: str,
     order: Sequence[str] = (),
-    chunk_us: int = CHUNK_US,
+    chunk_us: int | None = None,
 ) -> DataFrame:
     """Each left row with the columns of the last right row of its key at or before its time.
 
     Exact matches count; of right rows with one time the last in ``order`` is taken; without a
     match the right columns are NULL. A right row is a match whatever its values are.
 
-    Neither a busy key nor many rows of one time end in one task: both sides are first reduced
-    to one row per (key, time), times are matched within chunks, a window over one row per
-    chunk carries matches across chunks, and left rows are joined back by equality, which AQE
-    splits when skewed.
+    Neither a busy key nor many rows of one time end in one task: times are matched as in
+    :func:`asof_times`, the rest are equality joins, which AQE splits when skewed. Chunks of
+    ``chunk_us`` are sized from the data when not given.
     """
     payload = [c for c in right.columns if c not in (*by, right_on)]
     tie = F.struct(*order) if order else F.struct(*payload)
-    matched = F.struct(F.col(right_on).alias(right_on), *payload)
-    rights = right.where(F.col(right_on).isNotNull()).groupBy(*by, F.col(right_on).alias("_at")).agg(
-        F.max_by(matched, tie).alias("_match"))
-    lefts = left.where(F.col(left_on).isNotNull()).select(*by, F.col(left_on).alias("_at")).distinct()
-    # one aggregate per (key, time): whether a left row wants it, and the right row it has
-    events = lefts.select(*by, "_at", F.lit(True).alias("_wanted")).unionByName(rights, allowMissingColumns=True)
-    us = F.unix_micros(F.col("_at").cast("timestamp"))
-    events = events.withColumn("_chunk", us - F.pmod(us, F.lit(chunk_us)))
-
-    last = events.groupBy(*by, "_chunk").agg(
-        F.max_by("_match", F.when(F.col("_match").isNotNull(), F.col("_at"))).alias("_last"))
-    across = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.select(*by, "_chunk", F.last("_last", ignorenulls=True).over(across).alias("_carry"))
-    # at one time the right row (NULL _wanted) sorts first, so an exact match is seen
-    inside = Window.partitionBy(*by, "_chunk").orderBy("_at", F.col("_wanted").asc_nulls_first())
-    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = events.withColumn("_match", F.last("_match", ignorenulls=True).over(inside)).where("_wanted")
-    found = seen.join(carry, [*by, "_chunk"]).select(
-        *by, F.col("_at").alias(left_on), F.coalesce("_match", "_carry").alias("_match"))
+    rights = right.where(F.col(right_on).isNotNull()).groupBy(*by, F.col(right_on).alias("match_at")).agg(
+        F.max_by(F.struct(*payload), tie).alias("match"))
+    times = left.select(*by, F.col(left_on).alias("at"), F.lit(True).alias("wanted"), F.lit(False).alias("known"))
+    times = times.unionByName(
+        right.select(*by, F.col(right_on).alias("at"), F.lit(False).alias("wanted"), F.lit(True).alias("known")))
+    found = asof_times(times, by, chunk_us or chunk_size(times)).where("match_at is not null")
+    found = found.join(rights, [*by, "match_at"]).withColumnRenamed("at", left_on)
     joined = left.join(found, [*by, left_on], "left")
-    names = [right_on, *payload]
-    return joined.select(*left.columns, *[F.col("_match")[n].alias(n) for n in names])
+    return joined.select(
+        *left.columns, F.col("match_at").alias(right_on), *[F.col("match")[c].alias(c) for c in payload])

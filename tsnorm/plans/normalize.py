@@ -120,7 +120,8 @@ def normalize(
         small = Small(series_modes(sampled, keys), scratch, "modes")
         modes, mixed = small.frame, small.rows is None or not all(m["down"] for m in small.rows)
     seeds = modes.select(*named, "down")
-    if readings.instruments is not None:
+    filtered = query is not None or start_us is not None or end_us is not None
+    if readings.instruments is not None and (filtered or not readings.from_data):
         seeds = readings.instruments.join(seeds, named, "left")
 
     ends = modes.groupBy(*keys).agg(

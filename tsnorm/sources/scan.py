@@ -48,14 +48,16 @@ class Readings:
 
     ``frame`` has the key columns, ``instrument``, ``ts``, ``value``, ``series`` (which column,
     pair or tag of the source a row came from) and ``ord`` (later wins). ``unique`` says that
-    (keys, instrument, ts) occurs once already. ``instruments`` lists every instrument the
-    source declares, also those without a value.
+    (keys, instrument, ts) occurs once already. ``instruments`` lists every instrument of the
+    source, also those a filter leaves without a value; None: those that have one. If it comes
+    ``from_data``, using it is a pass over the source.
     """
 
     frame: DataFrame
     keys: tuple[str, ...]
     instruments: DataFrame | None
     unique: bool
+    from_data: bool = False
 
 
 def _reader(spark: SparkSession, opts: CsvOptions, header: bool):

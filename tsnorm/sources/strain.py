@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsnorm.functions.names import sanitize_name, unit_label
-from tsnorm.functions.times import FALLBACK_PATTERNS, elapsed_to_ts, elapsed_unit_us, round_ms
+from tsnorm.functions.times import elapsed_to_ts, elapsed_unit_us, infer_ts, round_ms
 from tsnorm.operators.merge import union_all
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.normalized import explode_values, value_array
@@ -82,10 +82,9 @@ def read_preambles(lines: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
         first_row(F.lower(right).contains(ELAPSED_LABEL.lower()), right).alias("elapsed"),
     )
     start_text = F.trim(F.regexp_extract("start", "^[^:]*:(.*)$", 1))
-    start = F.coalesce(*[F.try_to_timestamp(start_text, F.lit(p)) for p in FALLBACK_PATTERNS])
     return files.join(labels, "source_file", "left").select(
         "source_file", "id_col", F.col("id_at.block").alias("id_block"), F.col("id_at.row").alias("id_row"),
-        F.unix_micros(start).alias("start_us"),
+        F.unix_micros(infer_ts(start_text)).alias("start_us"),
         elapsed_unit_us(F.col("elapsed")).alias("unit_us"),
         "tags", "units",
     )
@@ -148,4 +147,4 @@ def read_strain(
         ))
     out = union_all(parts)
     # a column without any value is no instrument here, so the data decides
-    return Readings(out, keys, out.select(*keys, "instrument").distinct(), False)
+    return Readings(out, keys, out.select(*keys, "instrument").distinct(), False, from_data=True)
