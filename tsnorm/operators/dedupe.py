@@ -42,8 +42,8 @@ def append_series(
         rows = rows.select(*ids, "value")
         return rows if query is None else rows.where(value_query(query))
     if query is not None:
-        last = rows.groupBy(*ids, "series").agg(F.max(F.struct("ord", "value")).alias("last"))
-        rows = last.select(*ids, "last.ord", "last.value").where(value_query(query))
+        last = rows.groupBy(*ids, "series").agg(F.max_by("value", "ord").alias("value"), F.max("ord").alias("ord"))
+        rows = last.where(value_query(query))
     return last_wins(rows, ids, ["value"], F.col("ord"))
 
 

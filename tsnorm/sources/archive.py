@@ -32,10 +32,11 @@ ROLES = ["tag_id", "tag_name", "time", "data_source", "value", "quality"]
 def tag_dimension(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """First name of every tag id: ``tag_id, instrument`` from rows with both id and name.
 
-    ``rows`` has ``tag_id, tag_name, ord``. Partial aggregation keeps the shuffle to one row
-    per id and task.
+    ``rows`` has ``tag_id, tag_name, ord``. The names of an id are told apart first: that
+    aggregate holds no text but its keys, so it is hash-based, and it leaves few rows.
     """
     named = rows.where("tag_id is not null and tag_name is not null")
+    named = named.groupBy(*keys, "tag_id", "tag_name").agg(F.min("ord").alias("ord"))
     tags = named.groupBy(*keys, "tag_id").agg(F.min_by("tag_name", "ord").alias("tag_name"))
     return tags.select(*keys, "tag_id", sanitize_name(F.col("tag_name")).alias("instrument"))
 
@@ -107,7 +108,7 @@ def read_archive(
             picked["tag_name"].alias("tag_name"),
             round_ms(parse_ts(picked["time"], fmt), picked["time"]).alias("ts"),
             lenient_double(picked["value"]).alias("value"),
-            F.struct(F.lit(entry).alias("entry"), "source_file", "block", "row").alias("ord"),
+            headers.order.of(None if per_file else entry, len(paths)).alias("ord"),
         ))
     rows = union_all(parts)
 

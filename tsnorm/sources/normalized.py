@@ -103,7 +103,7 @@ def read_normalized(
             "source_file",
             round_ms(parse_ts(F.col("_c0"), fmt), F.col("_c0")).alias("ts"),
             value_array(cols, entry, headers.width).alias("vals"),
-            F.struct("block", "row").alias("ord"),
+            headers.order.of(None, 1).alias("ord"),
         )
         if per_file and (cols.rows is None or len(cols.rows) < len(headers.rows or [])):
             rows = rows.join(cols.frame.select("source_file"), "source_file", "left_semi")

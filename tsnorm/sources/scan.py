@@ -78,10 +78,11 @@ def _positions() -> list[Column]:
     ]
 
 
-def scan_lines(spark: SparkSession, path: str, opts: CsvOptions, header: bool) -> DataFrame:
-    """Whole lines; with ``header`` the first line of each file is left out."""
+def scan_lines(spark: SparkSession, path: str, opts: CsvOptions, header: bool, size: bool = False) -> DataFrame:
+    """Whole lines; with ``header`` the first line of each file is left out, with ``size`` its length added."""
     reader = _reader(spark, opts, header).options(sep=_NO_SEPARATOR, quote="")
-    lines = reader.schema("line string").csv(path).select("line", *_positions())
+    extra = [F.col("_metadata.file_size").alias("file_size")] if size else []
+    lines = reader.schema("line string").csv(path).select("line", *_positions(), *extra)
     return lines.where("line is not null")
 
 
@@ -119,21 +120,66 @@ def scan_cells(spark: SparkSession, path: str, opts: CsvOptions, width: int) ->
 
 
 def first_lines(spark: SparkSession, paths: Sequence[str], opts: CsvOptions) -> DataFrame:
-    """First line and field count of every file: ``entry, source_file, line, width``.
+    """First line, field count and size of every file: ``entry, source_file, line, width, file_size``.
 
-    ``entry`` is the position in ``paths``; an entry may be a file, a folder or a pattern.
+    ``entry`` is the position in ``paths``; an entry may be a file, a folder or a pattern. A
+    single file is read to its first line only, several files in one pass over their lines.
     """
     parts = []
     for entry, path in enumerate(paths):
-        lines = scan_lines(spark, path, opts, header=False).where("block = 0")
-        parts.append(lines.groupBy("source_file").agg(F.min_by("line", "row").alias("line")).select(
-            F.lit(entry).alias("entry"), "source_file", "line"))
+        lines = scan_lines(spark, path, opts, header=False, size=True)
+        starts = lines.where("block = 0").select(F.lit(entry).alias("entry"), "source_file", "line", "file_size", "row")
+        if len(lines.inputFiles()) == 1:
+            # as an action a limit reads the first task only, inside a plan it would read all
+            parts.append(spark.createDataFrame(starts.head(1), starts.schema).drop("row"))
+        else:
+            parts.append(starts.groupBy("entry", "source_file").agg(
+                F.min_by("line", "row").alias("line"), F.max("file_size").alias("file_size")))
     frame = union_all(parts)
     unquoted = F.regexp_replace("line", '"([^"]|"")*"', "")
     sep = F.lit(opts.sep if len(opts.sep) > 1 else rf"\Q{opts.sep}\E")
     return frame.withColumn("width", (F.regexp_count(unquoted, sep) + 1).cast("int"))
 
 
+class RowOrder:
+    """Order of rows in their files as one whole number, where it fits one.
+
+    A number keeps "last wins" aggregates hash-based; a struct would make them sort. Splits of a
+    file start at multiples of at least the smaller of the two split settings, so that unit
+    tells them apart; the low 33 bits of a row id count the rows of a task.
+    """
+
+    ROW_BITS = 33
+
+    def __init__(self, spark: SparkSession, files: list[dict] | None):
+        names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+        to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+        self.unit = max(1, min(to_bytes(spark.conf.get(n)) for n in names))
+        entries = None if files is None else [f["entry"] for f in files]
+        # with one file per entry the entry stands for the file
+        self.one_file_each = entries is not None and len(set(entries)) == len(entries)
+        self.blocks = 1 + (2**62 if files is None else max((f["file_size"] for f in files), default=0) // self.unit)
+
+    def of(self, entry: int | None, n_entries: int, before: Column | None = None, n_before: int = 1) -> Column:
+        """Order by ``before`` (less than ``n_before``), then file, then row.
+
+        ``entry`` is None when rows of different files are never compared.
+        """
+        parts = [(before, n_before)] if before is not None else []
+        if entry is not None:
+            parts.append((F.lit(entry), n_entries))
+        parts.append((F.floor(F.col("block") / self.unit), self.blocks))
+        bits = sum((n - 1).bit_length() for _, n in parts) + self.ROW_BITS
+        if bits > 62 or (entry is not None and not self.one_file_each):
+            fields = [before.alias("before")] if before is not None else []
+            return F.struct(*fields, F.lit(entry or 0).alias("entry"), "source_file", "block", "row")
+        order = F.lit(0).cast("bigint")
+        for part, n in parts:
+            order = F.shiftleft(order, (n - 1).bit_length()) + part.cast("bigint")
+        row = F.col("row").bitwiseAND(F.lit(2**self.ROW_BITS - 1))
+        return F.shiftleft(order, self.ROW_BITS) + row
+
+
 @dataclass(frozen=True)
 class Headers:
     """Header cells of every file: ``entry, source_file, width, names``."""
@@ -141,9 +187,7 @@ class Headers:
     frame: DataFrame
     rows: list[dict] | None
     width: int
-
-    def of_entry(self, entry: int) -> list[dict] | None:
-        return None if self.rows is None else [r for r in self.rows if r["entry"] == entry]
+    order: RowOrder
 
 
 def read_headers(spark: SparkSession, paths: Sequence[str], opts: CsvOptions, scratch: Scratch) -> Headers:
@@ -159,7 +203,7 @@ def read_headers(spark: SparkSession, paths: Sequence[str], opts: CsvOptions, sc
     names = parse_lines(unmarked, opts, width).select(
         "entry", "source_file", "width", F.slice(cells, F.lit(1), F.col("width")).alias("names"))
     small = Small(names, scratch, "headers")
-    return Headers(small.frame, small.rows, width)
+    return Headers(small.frame, small.rows, width, RowOrder(spark, lines.rows))
 
 
 def header_cells(headers: DataFrame) -> DataFrame:
@@ -211,6 +255,13 @@ def value_columns(headers: DataFrame, per_file: bool, by_name: bool) -> DataFram
     )
 
 
+def series_count(cols: Small) -> int:
+    """A number above every ``series``."""
+    if cols.rows is not None:
+        return 1 + max((c["series"] for r in cols.rows for c in r["cols"]), default=0)
+    return 1 + cols.frame.select(F.max(F.array_max("cols.series"))).first()[0]
+
+
 def one_layout(cols: Small, entry: int) -> list[dict] | None:
     """Columns of an entry whose files all share them; None when they differ (or are not known)."""
     if cols.rows is None:

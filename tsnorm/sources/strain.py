@@ -21,9 +21,11 @@ from tsnorm.sources.scan import (
     DuplicateColumns,
     NoData,
     Readings,
+    RowOrder,
     first_lines,
     parse_lines,
     scan_lines,
+    series_count,
     value_columns,
 )
 
@@ -93,7 +95,9 @@ def read_preambles(lines: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
 def read_strain(
     spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch
 ) -> Readings:
-    width = first_lines(spark, paths, opts).agg(F.max("width")).first()[0]
+    files = Small(first_lines(spark, paths, opts), scratch, "first_lines")
+    width = files.frame.agg(F.max("width")).first()[0]
+    order = RowOrder(spark, files.rows)
     if width is None or width < 3:
         raise NoData("no data found: a strain file has at least 3 columns")
     keys = ("source_file",) if per_file else ()
@@ -143,7 +147,7 @@ def read_strain(
         long = explode_values(rows, cols, entry, ["source_file", "block", "row", "ts"])
         parts.append(long.select(
             *keys, "instrument", "ts", "value", "series",
-            F.struct("series", F.lit(entry).alias("entry"), "source_file", "block", "row").alias("ord"),
+            order.of(None if per_file else entry, len(paths), F.col("series"), series_count(cols)).alias("ord"),
         ))
     out = union_all(parts)
     # a column without any value is no instrument here, so the data decides

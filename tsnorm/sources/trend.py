@@ -12,7 +12,7 @@ from tsnorm.functions.times import DEFAULT_FORMATS, parse_ts, round_ms
 from tsnorm.functions.values import lenient_double
 from tsnorm.operators.merge import union_all
 from tsnorm.session import Scratch, Small
-from tsnorm.sources.scan import CsvOptions, NoData, Readings, one_layout, read_headers, scan_cells, value_columns
+from tsnorm.sources.scan import CsvOptions, NoData, Readings, one_layout, read_headers, scan_cells, series_count, value_columns
 
 
 def trend_unpivot(
@@ -42,6 +42,7 @@ def read_trend(
     fmt = opts.time_format or DEFAULT_FORMATS["trend"]
     keys = ("source_file",) if per_file else ()
     ids = ["source_file", "block", "row"]
+    n_series = series_count(cols)
     parts = []
     for entry, path in enumerate(paths):
         cells = scan_cells(spark, path, opts, headers.width)
@@ -64,7 +65,8 @@ def read_trend(
             round_ms(parse_ts(F.col("ts"), fmt), F.col("ts")).alias("ts"),
             lenient_double(F.col("value")).alias("value"),
             "series",
-            F.struct("series", "source_file", "block", "row").alias("ord"),
+            # a series is one pair of one file, so the place in the file decides within it
+            headers.order.of(None, 1, F.col("series"), n_series).alias("ord"),
         )
         parts.append(long.where("ts is not null and value is not null"))
     out = union_all(parts)
