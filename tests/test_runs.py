@@ -167,6 +167,13 @@ def test_batch_is_the_single_runs(spark, write, tmp_path, columns, period):
     assert back.count() == long.count()
 
 
+def test_gap_filling_is_cut_by_the_rows_it_makes(spark, write):
+    rows = [(1, "x", "00:00:00.000", 1), (1, "x", "00:00:00.010", 2), (1, "x", "08:00:00.0", 3)]
+    run = tsnorm.normalize_files(spark, "archive", write("a.csv", archive(*rows)), period="10L")
+    assert run.tasks == 2 == run.long().rdd.getNumPartitions() == run.wide().rdd.getNumPartitions()
+    assert run.long().count() == 8 * 3600 * 100 + 1
+
+
 def test_intermediate_tables_are_removed(spark, write):
     from pathlib import Path
 
@@ -187,5 +194,5 @@ def test_wide_plan_shuffles_once_after_the_gaps_are_known(spark):
     run = tsnorm.normalize(Readings(df, (), None, True), period="1S")
     plan = run.wide()._jdf.queryExecution().executedPlan().toString()
     top = plan[:plan.index("Union")]
-    assert top.count("Exchange") == 1 and "REPARTITION_BY_COL" in top
+    assert top.count("Exchange") == 1 and "REPARTITION_BY_NUM" in top
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tsnorm.functions.times import end_bound, parse_period, start_bound
 from tsnorm.operators.dedupe import append_series
-from tsnorm.operators.fill import align, carried_rows, fill_chunks, fill_zero
+from tsnorm.operators.fill import carried_rows, fill_chunks, fill_zero
 from tsnorm.operators.filters import time_range
 from tsnorm.operators.grid import CHUNK_POINTS, GRID_COLUMNS, Grid, GridTooLarge, grid_bounds
 from tsnorm.operators.period import common_period
@@ -23,6 +23,9 @@ from tsnorm.sources.scan import CsvOptions, NoData, Readings
 
 # Cells (grid times x instruments) a run may produce unless the caller allows more.
 MAX_CELLS = 10**12
+# Cells one task should produce, and the most tasks to cut a run in.
+TASK_CELLS = 1_000_000
+MAX_TASKS = 50_000
 # Cells of one time chunk of the wide table, which one task holds sorted.
 WIDE_CHUNK_CELLS = 1_000_000
 
@@ -42,12 +45,19 @@ class Aligned:
     grid: Grid | None
     stats: list[str]
     keys: tuple[str, ...]
+    cells: int
     scratch: Scratch
 
+    @property
+    def tasks(self) -> int:
+        """Tasks for filling gaps. Rows multiply after that shuffle, so its size in bytes is no guide."""
+        return max(1, min(self.cells // TASK_CELLS, MAX_TASKS))
+
     def long(self) -> DataFrame:
         """``[source_file,] instrument, timestamp, <statistics>``: one row per grid time."""
-        rows = align(self.sampled, self.instruments, self.stats, self.keys, self.grid)
-        return fill_zero(rows, self.stats)
+        rows = carried_rows(self.sampled, self.instruments, self.stats, self.keys, self.grid)
+        rows = rows.repartition(self.tasks, *self.keys, "instrument", "chunk")
+        return fill_zero(fill_chunks(rows, self.stats, self.keys, self.grid).drop("chunk"), self.stats)
 
     def wide(self) -> DataFrame:
         """``timestamp, value_<instrument>...``: rows are clustered by time, not sorted.
@@ -63,7 +73,7 @@ class Aligned:
         columns = wide_columns([m["instrument"] for m in self.listed], self.stats, single)
         chunk = max(1, min(CHUNK_POINTS, WIDE_CHUNK_CELLS // len(self.listed), self.grid.points // 64))
         rows = carried_rows(self.sampled, self.instruments, self.stats, (), self.grid, chunk)
-        rows = fill_chunks(rows.repartition("chunk"), self.stats, (), self.grid, chunk)
+        rows = fill_chunks(rows.repartition(self.tasks, "chunk"), self.stats, (), self.grid, chunk)
         return wide_pivot(rows, columns, clustered=["chunk"])
 
     def close(self) -> None:
@@ -150,7 +160,7 @@ def normalize(
         raise GridTooLarge(f"{total} grid cells; choose a longer period or a shorter range, or raise max_cells")
 
     sampled = _labelled(sampled, modes if mixed else None, keys, grid, chosen, gap)
-    return Aligned(sampled, seeds, listed, grid, chosen, keys, scratch)
+    return Aligned(sampled, seeds, listed, grid, chosen, keys, total, scratch)
 
 
 def _labelled(
