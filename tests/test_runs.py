@@ -174,6 +174,17 @@ def test_gap_filling_is_cut_by_the_rows_it_makes(spark, write):
     assert run.long().count() == 8 * 3600 * 100 + 1
 
 
+def test_wide_partitions_are_in_time_order(spark, write, tmp_path):
+    rows = [(1, "x", "00:00:00.000", 1), (1, "x", "00:00:00.010", 2), (1, "x", "09:00:00.0", 3)]
+    run = tsnorm.normalize_files(spark, "archive", write("a.csv", archive(*rows)), period="10L")
+    tsnorm.write_wide(run.wide(), str(tmp_path / "out"), time_ordered=True)
+    parts = sorted((tmp_path / "out").glob("part-*.csv"))
+    seen = []
+    for part in parts:
+        seen += [line.split(",")[0] for line in part.read_text().splitlines()[1:]]
+    assert len(parts) == run.tasks == 3 and len(seen) == 9 * 3600 * 100 + 1 and seen == sorted(seen)
+
+
 def test_intermediate_tables_are_removed(spark, write):
     from pathlib import Path
 

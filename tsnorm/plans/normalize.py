@@ -60,7 +60,7 @@ class Aligned:
         return fill_zero(fill_chunks(rows, self.stats, self.keys, self.grid).drop("chunk"), self.stats)
 
     def wide(self) -> DataFrame:
-        """``timestamp, value_<instrument>...``: rows are clustered by time, not sorted.
+        """``timestamp, value_<instrument>...``: partitions are in time order, rows in them not sorted.
 
         Everything of a chunk of time is brought together once, before the gaps are filled;
         filling and pivoting then need no further shuffle.
@@ -73,8 +73,11 @@ class Aligned:
         columns = wide_columns([m["instrument"] for m in self.listed], self.stats, single)
         chunk = max(1, min(CHUNK_POINTS, WIDE_CHUNK_CELLS // len(self.listed), self.grid.points // 64))
         rows = carried_rows(self.sampled, self.instruments, self.stats, (), self.grid, chunk)
-        rows = fill_chunks(rows.repartition(self.tasks, "chunk"), self.stats, (), self.grid, chunk)
-        return wide_pivot(rows, columns, clustered=["chunk"])
+        # equal spans of time make equal numbers of rows, wherever the readings are
+        n_chunks = -(-self.grid.points // chunk)
+        rows = rows.withColumn("part", F.floor(F.col("chunk") * self.tasks / n_chunks).cast("int"))
+        rows = fill_chunks(rows.repartitionById(self.tasks, "part"), self.stats, ("part",), self.grid, chunk)
+        return wide_pivot(rows, columns, clustered=["part", "chunk"])
 
     def close(self) -> None:
         """Remove the intermediate tables; the tables above cannot be read after it."""

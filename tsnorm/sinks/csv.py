@@ -23,14 +23,19 @@ def write_wide(
     time_format: str = DEFAULT_FORMATS["normalized"],
     notice: Sequence[str] = (),
     single_file: bool = False,
+    time_ordered: bool = False,
 ) -> None:
     """Folder of CSV parts in time order, each with a header; an existing one is overwritten.
 
     ``notice`` lines go to a text folder ``<path>.notice``, so that the parts stay readable as
-    input. ``single_file`` gives one part, for results that fit one file.
+    input. ``single_file`` gives one part, for results that fit one file. With
+    ``time_ordered`` the partitions are in time order already, as those of a run are, and rows
+    are sorted where they are.
     """
     if single_file:
         ordered = wide.coalesce(1).sortWithinPartitions("timestamp")
+    elif time_ordered:
+        ordered = wide.sortWithinPartitions("timestamp")
     else:
         ordered = wide.orderBy("timestamp")
     shown = ordered.withColumn("timestamp", format_ts(F.col("timestamp"), time_format))
