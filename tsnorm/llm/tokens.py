@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,11 +13,13 @@ import pyarrow as pa
 # Between a space and a white-space mark on its left, the pre-tokenizer may not cut unless text follows.
 INNER = re.compile(r"\s \s")
 CUTS = re.compile(r"(?<!\s)(?= )|(?<=\s)(?= \S)")
-CACHED_PIECES = 300_000
+AROUND = re.compile(r"\n\s|\s\n|\n\Z")
+CACHED_PIECES = 500_000
+LETTERS = "\u0250"  # below it, all versions of Unicode have the same letters
 
 
 class Pieces(dict):
-    """Ids of pieces of text, as bytes of 4 each. A piece starts at a space, where the
+    """Ids of pieces of text, as bytes of 4 each. A piece starts at a space or a line feed, where the
     pre-tokenizer of a byte-level BPE always cuts, so a text's ids are those of its pieces in
     turn. The cache only saves time: it is emptied when it is full."""
 
@@ -30,30 +33,32 @@ class Pieces(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.by_piece = cuts_at_spaces(self.tokenizer)
-
-    def learn(self, wanted: set[str]) -> None:
-        if len(self) > CACHED_PIECES:
+        self.model = self.tokenizer.model
+        letter = self.tokenizer.pre_tokenizer.pre_tokenize_str if self.by_piece else None
+        # how the pre-tokenizer spells each byte of a letter or of the space before it
+        self.spelling = {b: letter(chr(b))[0][0] for b in range(128) if chr(b).isalpha()} | {32: letter(" a")[0][0][0]} if letter else {}
+        for char in map(chr, range(128, ord(LETTERS))) if letter else ():
+            if char.isalpha():
+                self.spelling |= dict(zip(char.encode(), letter(char)[0][0], strict=True))
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHED_PIECES:
             self.clear()
-        missing = [p for p in wanted if p not in self]
-        tails = [(p, p[:-1], p[-1]) for p in missing if p[-1:] in (",", ".") and p[-2:-1].isalpha()]
-        cores = {core for _, core, _ in tails} - self.keys()
-        cut = {p for p, _, _ in tails}
-        whole = [*cores, *(p for p in missing if p not in cut and p not in cores)]
-        whole += [c for c in ",." if c not in self and c not in whole]
-        for at in range(0, len(whole), 4096):
-            part = whole[at:at + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[p] = np.array(e.ids, np.uint32).tobytes()
-        for p, core, mark in tails:
-            self[p] = self[core] + self[mark]
+        core = piece[1:] if piece[:1] == " " else piece
+        if core.isalpha() and max(core) < LETTERS:
+            found = array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.spelling))]).tobytes()
+        elif core[-1:] in (",", ".") and core[-2:-1].isalpha():
+            found = self[piece[:-1]] + self[piece[-1]]
+        else:
+            found = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        self[piece] = found
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(e.ids, np.uint32).tobytes() for e in encoded]
-        cut = [cut_text(t) for t in texts]
-        self.learn(set().union(*cut))
-        return [b"".join([self[p] for p in pieces]) for pieces in cut]
+            return [array("I", e.ids).tobytes() for e in encoded]
+        return [b"".join(map(self.__getitem__, cut_text(t))) for t in texts]
 
 
 def cuts_at_spaces(tokenizer) -> bool:
@@ -66,10 +71,14 @@ def cuts_at_spaces(tokenizer) -> bool:
 
 
 def cut_text(text: str) -> list[str]:
+    """Pieces of a text. A space takes the word after it, unless it stands between white space; a
+    line feed without white space around it is a piece of its own."""
     if not text:
         return []
     if "\0" in text or INNER.search(text):
         return [p for p in CUTS.split(text) if p]
+    if not AROUND.search(text):
+        text = text.replace("\n", "\0\n\0")
     return [p for p in text.replace(" ", "\0 ").split("\0") if p]
 
 
