@@ -87,7 +87,7 @@ def test_elapsed(spark):
     units = ["Milliseconds Elapsed", "Seconds Elapsed", "elapsed (MIN)", "Elapsed Hours", "Elapsed"]
     assert apply(spark, units, T.elapsed_unit_us) == [1_000, 1_000_000, 60_000_000, 3_600_000_000, None]
     start = F.timestamp_micros(F.lit(0))
-    got = apply(spark, ["1.5", "Billiam", None], lambda c: F.unix_micros(T.elapsed_to_ts(start, c, F.lit(60_000_000))))
+    got = apply(spark, ["1.5", "no number", None], lambda c: F.unix_micros(T.elapsed_to_ts(start, c, F.lit(60_000_000))))
     assert got == [90_000_000, None, None]
 
 
@@ -104,7 +104,7 @@ def test_names(spark):
 
 def test_values(spark):
     assert apply(spark, ["", "NaN", "N/A", "nan", "x", "NAN"], V.null_tokens) == [None, None, None, None, "x", "NAN"]
-    cells = ["5", " 5.5", "1e3", "5d", "5F", "Billiam", "NaN", "inf", "-Infinity"]
+    cells = ["5", " 5.5", "1e3", "5d", "5F", "no number", "NaN", "inf", "-Infinity"]
     assert apply(spark, cells, V.lenient_double) == [
         5.0, 5.5, 1000.0, None, None, None, None, float("inf"), float("-inf")]
     assert apply(spark, ["007", "7", "x7"], V.tag_key) == ["7", "7", "x7"]
@@ -135,3 +135,25 @@ def test_stats_letters():
     assert parse_stats("ad") == ["mean", "std"]
     with pytest.raises(ValueError):
         parse_stats("q")
+
+
+def test_only_dates_with_times_are_times(spark):
+    cells = ["12345", "10:00:02", "2017-10-25", "2017-10-25 10:00:02.5", "2017-1-5 1:2:3", "2017-10-25T10:00:02Z", "20171025"]
+    got = apply(spark, cells, lambda c: T.parse_ts(c, T.DEFAULT_FORMATS["archive"]).cast("string"))
+    assert got == [None, None, "2017-10-25 00:00:00", "2017-10-25 10:00:02.5", "2017-01-05 01:02:03", "2017-10-25 10:00:02", None]
+
+
+def test_digits_beyond_microseconds_break_ties_in_any_layout(spark):
+    cells = ["3/1/2020 1:00:00.0005001", "03/01/2020 01:00:00.0005001", "3/1/2020 1:00:00.0005000"]
+    got = apply(spark, cells, lambda c: F.unix_micros(T.round_ms(T.parse_ts(c, T.DEFAULT_FORMATS["trend"]), c)) % 1_000_000)
+    assert got == [1000, 1000, 0]
+
+
+def test_odd_elapsed_cells_are_missing(spark):
+    cells = ["2", "Infinity", "NAN", "1e30", "5d", "", "1e12"]
+    got = apply(spark, cells, lambda c: F.unix_micros(T.elapsed_to_ts(F.timestamp_micros(F.lit(0)), c, F.lit(1_000_000))))
+    assert got == [2_000_000, None, None, None, None, None, None]
+
+
+def test_bounds_with_an_offset_are_converted():
+    assert T.start_bound("2020-01-01T05:00:00+05:00") == T.start_bound("2020-01-01T00:00:00")

@@ -29,7 +29,7 @@ def test_archive(spark, write):
     path = write("a.csv", archive(
         (7, "Pump-1.Out", "10:00:00.000000000", 1), (8, "Pump 2", "10:00:00.500000000", 2),
         (7, "Pump-1.Out", "10:00:01.000000000", 3), (7, "Other name", "10:00:01.000400000", 4),
-        (8, "Pump 2", "no time", 9), (8, "Pump 2", "10:00:02.000000000", "Billiam"), (9, "", "10:00:00.000000000", 5)))
+        (8, "Pump 2", "no time", 9), (8, "Pump 2", "10:00:02.000000000", "broken"), (9, "", "10:00:00.000000000", 5)))
     got = tsnorm.read(spark, "archive", path)
     # the first name of a tag counts, the last value of a rounded time, tags without a name do not exist
     assert long(got) == [("Pump_1_Out", "10:00:00.000", 1.0), ("Pump_1_Out", "10:00:01.000", 4.0), ("Pump_2", "10:00:00.500", 2.0)]
@@ -123,7 +123,7 @@ def test_trend_merge(spark, write):
     assert long(tsnorm.read(spark, "trend", [b, a]))[1] == ("x", "10:00:01.000", 2.0)
 
 
-def strain(start, junk="", unit="Seconds Elapsed", rows=((1, 1, 10, 5), (2, 2.5, 20, 6), (3, "Billiam", 30, 7))):
+def strain(start, junk="", unit="Seconds Elapsed", rows=((1, 1, 10, 5), (2, 2.5, 20, 6), (3, "broken", 30, 7))):
     lines = [
         f"{junk}some, text, wider, than, all, other, rows", f'{junk}"Session:  ""one"""', f"{junk}Start Time:  {start}",
         junk, f"{junk}Assignment:,,SG-1 a,EX.2,empty", f"{junk}Reduction Method: ,,Strain,mm,mm",
@@ -140,6 +140,28 @@ def test_strain(spark, write, junk):
     assert names(got) == ["EX_2_(mm)", "SG_1_a_(uStrain)"]
 
 
+def test_strain_keeps_columns_right_of_a_narrow_first_line(spark, write):
+    text = strain("3/1/2020 9:59:58 AM").replace("some, text, wider, than, all, other, rows", "a,b")
+    assert len(long(tsnorm.read(spark, "strain", write("s.csv", text)))) == 4
+
+
+def test_strain_keeps_all_rows_when_splits_change(spark, write, tmp_path):
+    for i in range(12):
+        write(f"many/s{i:02}.csv", strain("3/1/2020 10:00:00 AM", rows=[(n, n + 100 * i, n, n + 0.5) for n in range(30)]))
+    got = tsnorm.read(spark, "strain", str(tmp_path / "many"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        assert got.frame.where("value is not null").count() == 12 * 30 * 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_strain_survives_odd_elapsed_cells(spark, write):
+    rows = [(1, 1, 10, 5), (2, "Infinity", 1, 1), (3, "NAN", 1, 1), (4, "1e30", 1, 1), (5, "5d", 1, 1)]
+    assert len(long(tsnorm.read(spark, "strain", write("s.csv", strain("3/1/2020 10:00:00 AM", rows=rows))))) == 2
+
+
 def test_strain_merge_of_different_headers(spark, write):
     a = write("a.csv", strain("3/1/2020 10:00:00 AM"))
     b = write("b.csv", strain("3/1/2020 10:00:00 AM", "j,", "Elapsed Minutes", ((1, 1, 77, 78),)).replace("EX.2", "EX 9"))

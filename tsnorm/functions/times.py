@@ -5,11 +5,13 @@ from __future__ import annotations
 import calendar
 import re
 import warnings
-from datetime import datetime, time
+from datetime import datetime, time, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tsnorm.functions.values import lenient_double
+
 # The %-codes accepted in time formats and their Spark letters.
 # Reading uses single letters, which accept padded and unpadded numbers.
 READ_CODES = {
@@ -44,12 +46,17 @@ SLASH_PATTERNS = [
     "M/d/yyyy",
 ]
 
+# A date and a time, as the cast to a timestamp reads them.
+ISO_SHAPE = r"^\s*\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?\s*(Z|UTC|[+-]\d{1,2}(:?\d{2})?)?\s*$"
+
 # Microseconds in each sampling-period unit.
 PERIOD_UNITS = {
     "D": 86_400_000_000, "H": 3_600_000_000, "T": 60_000_000, "MIN": 60_000_000,
     "S": 1_000_000, "L": 1_000, "MS": 1_000,
 }
 ONE_SECOND_US = 1_000_000
+# About 3,000 years: more cannot be an elapsed time.
+MOST_ELAPSED_US = 10**17
 
 
 def _translate(fmt: str, codes: dict[str, str], fraction: str | None) -> str:
@@ -97,10 +104,11 @@ def infer_ts(text: Column) -> Column:
 def parse_ts(text: Column, fmt: str) -> Column:
     """Timestamp of a text cell; NULL when neither ``fmt`` nor a usual layout fits.
 
-    The ISO layout goes through the cast, about six times faster than a pattern.
+    The ISO layout goes through the cast, about six times faster than a pattern. The cast also takes
+    years or times alone, so the text must have the shape of a date with a time.
     """
     if fmt == "%Y-%m-%d %H:%M:%S.%f":
-        first = text.try_cast("timestamp")
+        first = F.when(text.rlike(ISO_SHAPE), text.try_cast("timestamp"))
     else:
         first = F.try_to_timestamp(text, F.lit(read_pattern(fmt)))
     return F.coalesce(first, infer_ts(text))
@@ -114,7 +122,7 @@ def round_ms(ts: Column, text: Column | None = None) -> Column:
     """
     us = F.unix_micros(ts).cast("double")
     if text is not None:
-        finer = (F.length(text) > 26) & (F.right(text, F.lit(3)) != "000") & text.rlike(r"\.\d{6}\d*[1-9]")
+        finer = text.rlike(r"\.\d{6}\d*[1-9]")
         us = us + F.when(finer, 0.5).otherwise(0.0)
     return F.timestamp_millis(F.rint(us / 1000).cast("bigint"))
 
@@ -173,6 +181,8 @@ def _bound_us(value: str | datetime | None, is_end: bool) -> int | None:
                 return None
     else:
         moment = value
+    if moment.tzinfo is not None:  # readings are on UTC wall clocks
+        moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
     if is_end and moment.time() == time(0, 0, 0, 0):
         moment = moment.replace(hour=23, minute=59, second=59, microsecond=999_999)
     return calendar.timegm(moment.timetuple()) * 1_000_000 + moment.microsecond
@@ -208,6 +218,6 @@ def elapsed_unit_us(label: Column) -> Column:
 
 
 def elapsed_to_ts(start: Column, elapsed: Column, unit_us: Column) -> Column:
-    """``start`` plus a number of units; NULL when the elapsed cell is not a number."""
-    offset = F.round(elapsed.try_cast("double") * unit_us).cast("bigint")
-    return F.timestamp_micros(F.unix_micros(start) + offset)
+    """``start`` plus a number of units; NULL when the elapsed cell is not a number or is beyond all calendars."""
+    offset = F.round(lenient_double(elapsed) * unit_us).try_cast("bigint")
+    return F.timestamp_micros(F.unix_micros(start) + F.when(F.abs(offset) < MOST_ELAPSED_US, offset))

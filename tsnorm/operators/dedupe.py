@@ -22,11 +22,6 @@ def last_wins(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order:
     return last.select(*keys, *[F.col("last")[c].alias(c) for c in columns])
 
 
-def first_wins(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Column) -> DataFrame:
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*columns), order).alias("first"))
-    return first.select(*keys, *[F.col("first")[c].alias(c) for c in columns])
-
-
 def append_series(
     readings: DataFrame, keys: Sequence[str] = (), query: str | None = None, unique: bool = False
 ) -> DataFrame:

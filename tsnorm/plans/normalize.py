@@ -21,11 +21,8 @@ from tsnorm.session import Scratch, Small
 from tsnorm.sources.read import read
 from tsnorm.sources.scan import CsvOptions, NoData, Readings
 
-# Cells (grid times x instruments) a run may produce unless the caller allows more.
-MAX_CELLS = 10**12
-# Cells one task should produce, and the most tasks to cut a run in.
+# Cells (grid times x instruments) one task should produce.
 TASK_CELLS = 1_000_000
-MAX_TASKS = 50_000
 # Cells of one time chunk of the wide table, which one task holds sorted.
 WIDE_CHUNK_CELLS = 1_000_000
 
@@ -51,7 +48,7 @@ class Aligned:
     @property
     def tasks(self) -> int:
         """Tasks for filling gaps. Rows multiply after that shuffle, so its size in bytes is no guide."""
-        return max(1, min(self.cells // TASK_CELLS, MAX_TASKS))
+        return max(1, min(self.cells // TASK_CELLS, 2**31 - 1))
 
     def long(self) -> DataFrame:
         """``[source_file,] instrument, timestamp, <statistics>``: one row per grid time."""
@@ -67,11 +64,11 @@ class Aligned:
         """
         if self.keys:
             raise ValueError("the wide table is for one data set; use long() for many files")
-        if self.listed is None:
-            raise ValueError("too many instruments for columns; use long()")
-        single = {m["instrument"] for m in self.listed if m["down"] is False}
-        columns = wide_columns([m["instrument"] for m in self.listed], self.stats, single)
-        chunk = max(1, min(CHUNK_POINTS, WIDE_CHUNK_CELLS // len(self.listed), self.grid.points // 64))
+        # the names are columns of the plan, however many they are
+        listed = self.listed or self.instruments.select("instrument", "down").toArrow().to_pylist()
+        single = {m["instrument"] for m in listed if m["down"] is False}
+        columns = wide_columns([m["instrument"] for m in listed], self.stats, single)
+        chunk = max(1, min(CHUNK_POINTS, WIDE_CHUNK_CELLS // len(listed), self.grid.points // 64))
         rows = carried_rows(self.sampled, self.instruments, self.stats, (), self.grid, chunk)
         # equal spans of time make equal numbers of rows, wherever the readings are
         n_chunks = -(-self.grid.points // chunk)
@@ -93,7 +90,7 @@ def normalize(
     start: str | datetime | None = None,
     end: str | datetime | None = None,
     gap: str = "carry",
-    max_cells: int = MAX_CELLS,
+    max_cells: int | None = None,
     scratch: Scratch | None = None,
 ) -> Aligned:
     """Align readings on one regular grid.
@@ -159,7 +156,7 @@ def normalize(
         total = grid.points * (len(listed) if listed is not None else seeds.count())
     if total is None:
         raise NoData("no data found: no reading has a valid time and value")
-    if total > max_cells:
+    if max_cells is not None and total > max_cells:
         raise GridTooLarge(f"{total} grid cells; choose a longer period or a shorter range, or raise max_cells")
 
     sampled = _labelled(sampled, modes if mixed else None, keys, grid, chosen, gap)
@@ -211,5 +208,9 @@ def normalize_files(
     """:func:`normalize` on files of one layout, merged or, with ``per_file``, each on its own."""
     scratch = Scratch(spark)
     opts = CsvOptions(sep=sep, encoding=encoding, time_format=time_format)
-    readings = read(spark, layout, paths, opts, per_file=per_file, scratch=scratch)
-    return normalize(readings, scratch=scratch, **options)
+    try:
+        readings = read(spark, layout, paths, opts, per_file=per_file, scratch=scratch)
+        return normalize(readings, scratch=scratch, **options)
+    except BaseException:
+        scratch.close()
+        raise

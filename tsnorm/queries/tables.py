@@ -387,7 +387,7 @@ def quality_report(table):
     rows = table("events").select(
         F.col("event_type").alias("source_file"), F.col("user_id").alias("tag_id"),
         F.when(F.col("value") < 5, F.lit("no time")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:00:00")).alias("t"),
-        F.when(F.col("value") > 90, F.lit("Billiam")).when(F.col("value") > 10, F.col("value").cast("string")).alias("v"))
+        F.when(F.col("value") > 90, F.lit("no number")).when(F.col("value") > 10, F.col("value").cast("string")).alias("v"))
     return quality.quality_report(
         rows, ["source_file"], ["tag_id"],
         F.col("t"), T.parse_ts(F.col("t"), T.DEFAULT_FORMATS["archive"]), F.col("v"), V.lenient_double(F.col("v")))

@@ -35,9 +35,12 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the one the cluster names, or a local one in tests."""
+    """Shared folder for intermediate tables, named by ``spark.checkpoint.dir``. A local session may
+    leave it unset and gets a temporary one; on a cluster executors could not see that."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="tsnorm-scratch-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared.rstrip("/")

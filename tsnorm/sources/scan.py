@@ -31,11 +31,13 @@ class DuplicateColumns(ValueError):
 
 @dataclass(frozen=True)
 class CsvOptions:
-    """``sep`` longer than one character is a regular expression."""
+    """``sep`` longer than one character is a regular expression. A row of more than ``max_columns``
+    cells is an error; the parser keeps room for so many."""
 
     sep: str = ","
     encoding: str = "UTF-8"
     time_format: str | None = None
+    max_columns: int = 200_000
 
     @property
     def spark_encoding(self) -> str:
@@ -62,7 +64,7 @@ class Readings:
 
 def _reader(spark: SparkSession, opts: CsvOptions, header: bool):
     reader = spark.read.options(
-        header=header, encoding=opts.spark_encoding, ignoreLeadingWhiteSpace=True, escape='"', maxColumns=200_000
+        header=header, encoding=opts.spark_encoding, ignoreLeadingWhiteSpace=True, escape='"', maxColumns=opts.max_columns
     )
     if opts.spark_encoding.upper().startswith(("UTF-16", "UTF-32")):
         reader = reader.option("lineSep", "\n")
@@ -104,7 +106,7 @@ def parse_lines(lines: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
         parsed = F.from_csv(
             F.col("line"),
             cell_schema(width),
-            {"sep": opts.sep, "escape": '"', "ignoreLeadingWhiteSpace": "true", "maxColumns": "200000"},
+            {"sep": opts.sep, "escape": '"', "ignoreLeadingWhiteSpace": "true", "maxColumns": str(opts.max_columns)},
         )
         parts = lines.select(*others, F.inline(F.array(parsed)))
         cells = [F.col(f"_c{i}") for i in range(width)]
@@ -136,9 +138,13 @@ def first_lines(spark: SparkSession, paths: Sequence[str], opts: CsvOptions) ->
             parts.append(starts.groupBy("entry", "source_file").agg(
                 F.min_by("line", "row").alias("line"), F.max("file_size").alias("file_size")))
     frame = union_all(parts)
-    unquoted = F.regexp_replace("line", '"([^"]|"")*"', "")
-    sep = F.lit(opts.sep if len(opts.sep) > 1 else rf"\Q{opts.sep}\E")
-    return frame.withColumn("width", (F.regexp_count(unquoted, sep) + 1).cast("int"))
+    return frame.withColumn("width", field_count(F.col("line"), opts.sep))
+
+
+def field_count(line: Column, sep: str) -> Column:
+    """Cells of a line: separators outside quotes, plus one."""
+    unquoted = F.regexp_replace(line, '"([^"]|"")*"', "")
+    return (F.regexp_count(unquoted, F.lit(sep if len(sep) > 1 else rf"\Q{sep}\E")) + 1).cast("int")
 
 
 class RowOrder:
@@ -214,9 +220,11 @@ def header_cells(headers: DataFrame) -> DataFrame:
 def reject_duplicates(headers: Headers) -> None:
     if headers.rows is not None and all(_no_repeats(r["names"]) for r in headers.rows):
         return
-    found = duplicate_names(header_cells(headers.frame)).orderBy("source_file", "name").limit(20).collect()
-    if found:
-        raise DuplicateColumns("; ".join(f"{r.source_file}: column {r.name!r} occurs {r.n} times" for r in found))
+    found = duplicate_names(header_cells(headers.frame))
+    some = found.orderBy("source_file", "name").head(20)
+    if some:
+        told = "; ".join(f"{r.source_file}: column {r.name!r} occurs {r.n} times" for r in some)
+        raise DuplicateColumns(f"{found.count()} repeated columns, the first of them: {told}")
 
 
 def without_duplicates(headers: Headers) -> DataFrame:

@@ -22,6 +22,7 @@ from tsnorm.sources.scan import (
     NoData,
     Readings,
     RowOrder,
+    field_count,
     first_lines,
     parse_lines,
     scan_lines,
@@ -49,18 +50,22 @@ def _starts(cell: Column, label: str) -> Column:
     return F.startswith(F.lower(cell), F.lit(label.lower()))
 
 
+def labelled() -> Column:
+    """Lines that contain the anchor or a label."""
+    marked = F.col("line").contains(ANCHOR)
+    for label in (START_LABEL, NAMES_LABEL, UNITS_LABEL, ELAPSED_LABEL):
+        marked = marked | F.lower("line").contains(label.lower())
+    return marked
+
+
 def read_preambles(lines: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
     """One row per file: anchor position, start time, elapsed unit, tag names and units.
 
     Only lines that contain one of the labels are parsed, a handful per file.
     """
-    low = F.lower("line")
-    marked = F.col("line").contains(ANCHOR)
-    for label in (START_LABEL, NAMES_LABEL, UNITS_LABEL, ELAPSED_LABEL):
-        marked = marked | low.contains(label.lower())
     cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
     at = F.struct("block", "row")
-    rows = parse_lines(lines.where(marked), opts, width)
+    rows = parse_lines(lines.where(labelled()), opts, width)
     # a generator again, so that the array is built once per row
     rows = rows.select("source_file", at.alias("at"), F.explode(F.array(cells)).alias("cells"))
 
@@ -96,12 +101,18 @@ def read_strain(
     spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch
 ) -> Readings:
     files = Small(first_lines(spark, paths, opts), scratch, "first_lines")
-    width = files.frame.agg(F.max("width")).first()[0]
     order = RowOrder(spark, files.rows)
+    # written once with the rows' positions: those of a further scan could be others
+    every = union_all([
+        scan_lines(spark, path, opts, header=False).withColumn("entry", F.lit(entry)) for entry, path in enumerate(paths)
+    ])
+    every = scratch.table(every, "lines")
+    # names and labels give the width; the first line is junk that may be narrower than the data
+    width = every.where(labelled()).agg(F.max(field_count(F.col("line"), opts.sep))).first()[0]
     if width is None or width < 3:
         raise NoData("no data found: a strain file has at least 3 columns")
     keys = ("source_file",) if per_file else ()
-    scans = [scan_lines(spark, path, opts, header=False) for path in paths]
+    scans = [every.where(F.col("entry") == entry).drop("entry") for entry in range(len(paths))]
 
     heads = union_all([
         read_preambles(lines, opts, width).withColumn("entry", F.lit(entry)) for entry, lines in enumerate(scans)
@@ -129,7 +140,6 @@ def read_strain(
 
     parts = []
     for entry, lines in enumerate(scans):
-        # the same line scan as for the preamble, so row positions are comparable
         rows = lines.join(heads.frame.where(F.col("entry") == entry).drop("entry"), "source_file")
         rows = rows.where("block > id_block or (block = id_block and row > id_row)").drop("id_block", "id_row")
         rows = parse_lines(rows, opts, width)
