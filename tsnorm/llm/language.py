@@ -90,7 +90,7 @@ def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Filt
         for batch in batches:
             language = np.array([number[k] for k in batch.column(1).to_pylist()], np.uint64)
             data, offsets = common.text_bytes(batch.column(0))
-            for lo, hi in common.slices(offsets, 1 << 20):
+            for lo, hi in common.slices(offsets, 1 << 19):
                 codes, rows = grams(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
                 new, n = np.unique((language[lo:hi][rows] << np.uint64(32)) | codes, return_counts=True)
                 merged, at = np.unique(np.concatenate((keys, new)), return_inverse=True)
@@ -141,7 +141,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
         for batch in batches:
             data, offsets = common.text_bytes(batch.column(1))
             lettered = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            for lo, hi in common.slices(offsets, 1 << 20):
+            for lo, hi in common.slices(offsets, 1 << 19):
                 best, score, cover = np.full(hi - lo, -1), np.zeros(hi - lo), np.zeros(hi - lo)
                 if model.languages:
                     codes, rows = grams(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
@@ -168,19 +168,19 @@ def keep_known(docs: DataFrame, filters: Filters, least_coverage: float) -> Data
     """The documents with a letter whose best language covers at least ``least_coverage`` of the
     text, with all their columns. Judged where they are read; nothing is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
+    place = docs.columns.index("text")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = common.text_bytes(batch.column(batch.num_columns - 1))
-            keep = batch.column(batch.num_columns - 2).to_numpy(zero_copy_only=False).astype(bool)
-            if shared.value.languages:
-                for lo, hi in common.slices(offsets, 1 << 20):
+            data, offsets = common.text_bytes(batch.column(place))
+            keep = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
+            own = pa.RecordBatch.from_arrays(batch.columns[:-1], names=out.fieldNames())
+            for lo, hi in common.slices(offsets, 1 << 19):
+                if shared.value.languages:
                     codes, rows = grams(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
                     keep[lo:hi] &= shared.value.shares(*shared.value.hits(codes, rows, hi - lo)).max(axis=1) >= least_coverage
-            yield pa.RecordBatch.from_arrays(batch.columns[:-2], names=out.fieldNames()).filter(pa.array(keep))
+                yield own.slice(lo, hi - lo).filter(pa.array(keep[lo:hi]))
 
     out = docs.schema
-    lettered, text = common.free_name(docs, "lettered"), common.free_name(docs, "whole_text")
-    more = docs.withColumns({
-        lettered: F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)), text: F.col("text").cast("string")})
-    return more.mapInArrow(judge, out)
+    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return docs.withColumn(common.free_name(docs, "lettered"), lettered).mapInArrow(judge, out)

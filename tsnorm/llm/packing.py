@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsnorm.llm import common
-from tsnorm.llm.tokens import encode_column, loaded
+from tsnorm.llm.tokens import encode_column, forget, loaded
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, `offset` long"
 STAGED = "doc_id long, ids binary, doc_tokens long, part int, before long"
@@ -36,6 +36,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
                 ], ["doc_id", "ids", "doc_tokens", "part", "before"])
                 at += len(ids)
                 before += int(counts.sum())
+        forget(tokenizer)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return common.stage(slim.mapInArrow(encode, STAGED), "token_ids")

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsnorm.llm.tokens import encode_column
+from tsnorm.llm.tokens import encode_column, forget
 
 FILE = "part int, doc_id long, before long, n_tokens long, ids array<int>"
 OPTIONS = {
@@ -49,6 +49,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int, options: dict[st
                 ], ["part", "doc_id", "before", "n_tokens", "ids"])
                 at += len(ids)
                 before += int(counts.sum())
+        forget(tokenizer)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ordered = slim.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.length("text"), F.xxhash64("text"))

@@ -112,3 +112,8 @@ def encode_column(path: str, column: pa.Array, end: int | None) -> Iterator[list
     for part in runs(column.to_pylist()):
         yield [ids + tail for ids in pieces.encode(part)]
 
+
+def forget(path: str) -> None:
+    """Empty the cache at the end of a task, so that later tasks of the worker have its memory."""
+    loaded(path).clear()
+
