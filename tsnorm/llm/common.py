@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MADE: list[tuple[SparkSession, str]] = []
+# Arrow batches of these sizes at most, unless the session says otherwise: rows may hold whole texts or sets
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,7 +33,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A new place in the shared folder; its files are removed when the driver ends."""
+    """A new place in the shared folder; its files are removed when the driver ends. Every operator with
+    work in Python starts by staging a table, so the session's batches are bounded here."""
+    for key, value in BATCHES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
     _MADE.append((spark, path))
     return path
@@ -74,6 +81,26 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same work on batches; at its end the memory it freed goes back to the system. Python workers
+    are kept for later tasks, and what each of them holds on to adds up in an executor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
+def release() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 # Text batches as arrays
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -82,6 +82,7 @@ def fingerprints(column: pa.Array, window: int, gram: int, short: list[int] | No
 def item_prints(benchmark: DataFrame, window: int, gram: int) -> DataFrame:
     """Fingerprints of the items: item_id, size (words of the gram, 0 if winnowed), hash, gram, left, right, short."""
 
+    @common.tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, _, _, found in fingerprints(batch.column(1), window, gram, None, None):
@@ -136,6 +137,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5)
     short = sorted(s for s in bits if s)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
+    @common.tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, n_words, found in fingerprints(batch.column(2), window, gram, short, shared.value):

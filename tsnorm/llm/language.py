@@ -84,6 +84,7 @@ def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Filt
     share = F.create_map(*(F.lit(x) for k in languages for x in (k, min(1.0, rows_per_language / counts[k]))))
     picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
 
+    @common.tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {k: i for i, k in enumerate(languages)}
         keys, sums = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -135,6 +136,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
+    @common.tidy
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         names = np.array([*model.languages, "und"], object)
@@ -170,6 +172,7 @@ def keep_known(docs: DataFrame, filters: Filters, least_coverage: float) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(filters)
     place = docs.columns.index("text")
 
+    @common.tidy
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = common.text_bytes(batch.column(place))

@@ -81,6 +81,7 @@ def band_hashes(signatures: np.ndarray, bands: int) -> np.ndarray:
 def sketched(docs: DataFrame, k: int, bands: int, width: int) -> DataFrame:
     """Size, 128-bit digest and band hashes of every document's set, staged."""
 
+    @common.tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, sets, first in shingles(batch.column(1), k):
@@ -107,6 +108,7 @@ def candidates(classes: DataFrame) -> DataFrame:
     bits = classes.sparkSession.sparkContext.broadcast(
         common.bit_filter(buckets, "bucket", common.filter_size(buckets.count(), FILTER_BITS)))
 
+    @common.tidy
     def spread_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
@@ -122,6 +124,7 @@ def candidates(classes: DataFrame) -> DataFrame:
 def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """Full shingle sets (sorted 64-bit hashes) of the wanted ids, one row per id: id, set."""
 
+    @common.tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, sets, first in shingles(batch.column(1), k):
@@ -140,6 +143,7 @@ def similar(inter: int, a: int, b: int, percent: int) -> bool:
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """id, center, linked: whether the full sets of a pair are similar enough."""
 
+    @common.tidy
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []

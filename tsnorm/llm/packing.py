@@ -21,6 +21,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     """First pass: ids of every document (two or four bytes each, by the vocabulary), and how many
     ids its task has before it. Staged, so that both are fixed for the second pass."""
 
+    @common.tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         kind = id_type(tokenizer, end)
@@ -66,6 +67,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 1024, end: int = 0) -> D
     offsets = dict(zip(parts.tolist(), np.concatenate(([0], np.cumsum(counts)[:-1])).tolist(), strict=True)) if len(parts) else {}
     shared = docs.sparkSession.sparkContext.broadcast(offsets)
 
+    @common.tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = id_type(tokenizer, end)
         for batch in batches:

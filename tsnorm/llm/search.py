@@ -23,6 +23,7 @@ def packed(vectors: DataFrame, size: int, total: int) -> DataFrame:
     """Blocks of up to ``size`` vectors of near length, one row each, longest first; staged. Vectors are
     dealt by ranges of (dims, length), so no group is ever gathered by key."""
 
+    @common.tidy
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -131,6 +132,7 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFram
         blocks.select(F.struct(*blocks.columns).alias("q"), "dims").join(tops.withColumnRenamed("block", "top"), "dims")
         .join(buckets.select(F.struct(*buckets.columns).alias("b"), F.col("block").alias("top")), "top"))
 
+    @common.tidy
     def thresholds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for query, bucket in zip(batch.column("q").to_pylist(), batch.column("b").to_pylist(), strict=True):
@@ -154,6 +156,7 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFram
         pairs.join(blocks.select("block", F.struct(*blocks.columns).alias("q")), "block").join(least.select("block", "least"), "block")
         .join(buckets.select(F.col("block").alias("bucket"), F.struct(*buckets.columns).alias("b")), "bucket"))
 
+    @common.tidy
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(len(batch)):

@@ -57,6 +57,7 @@ def chunked(docs: DataFrame, mean_words: int) -> DataFrame:
     """One row per document with the chunks' byte ranges, words and 128-bit digests, and whether a
     digest occurs again in it; staged."""
 
+    @common.tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = common.text_bytes(batch.column(2))
@@ -82,6 +83,7 @@ def chunked(docs: DataFrame, mean_words: int) -> DataFrame:
 def occurrences(staged: DataFrame, bits=None) -> DataFrame:
     """Chunks of every document, each digest once: doc, version, hi, lo. ``bits``: only those that may be in a filter."""
 
+    @common.tidy
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(2).cast(pa.large_binary())
@@ -127,6 +129,7 @@ def repeated(docs: DataFrame, mean_words: int = 6, min_words: int = 20) -> DataF
     key = F.xxhash64("doc", "version")
     alone, shared = common.divide(staged, key, known.select(key.alias("h")), FILTER_BITS)
 
+    @common.tidy
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, spans, words = [], [], []

@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tsnorm.llm import common
 from tsnorm.llm.tokens import encode_column, forget
 
 FILE = "part int, doc_id long, before long, n_tokens long, ids array<int>"
@@ -34,6 +35,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int, options: dict[st
     empty. Rows with one doc_id stand together in the order of their text; null doc_ids come first.
     """
 
+    @common.tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -75,6 +77,7 @@ def with_starts(files: DataFrame) -> DataFrame:
 def digests(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 (over unsigned 32-bit little-endian ids) of every document read."""
 
+    @common.tidy
     def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("ids")

@@ -121,6 +121,7 @@ def fit_bayes(labelled: DataFrame, words: Words) -> Bayes:
     other one always wins, and ``allow`` if there are none at all."""
     shared = labelled.sparkSession.sparkContext.broadcast(words)
 
+    @common.tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, pages = np.zeros((2, FEATURES), np.int64), np.zeros(2, np.int64)
         for batch in batches:
@@ -165,6 +166,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     model = fit_bayes(ruled.filter("verdict is not null"), words)
     shared = pages.sparkSession.sparkContext.broadcast((words, model))
 
+    @common.tidy
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, model = shared.value
         for batch in batches:
