@@ -33,7 +33,7 @@ def write_wide(
     are sorted where they are.
     """
     if single_file:
-        ordered = wide.coalesce(1).sortWithinPartitions("timestamp")
+        ordered = wide.repartition(1).sortWithinPartitions("timestamp")  # the run itself keeps its tasks
     elif time_ordered:
         ordered = wide.sortWithinPartitions("timestamp")
     else:
