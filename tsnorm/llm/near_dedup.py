@@ -245,15 +245,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     names = named.join(several, "doc_id").join(classes, ["hi", "lo"]).select(F.col("id"), F.col("doc_id").alias("center"))
     links = checked.filter("linked").select("id", "center").unionByName(names)
     labels = components(links)
+    rooted = classes.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id"))
     more = rest_links(checked, labels, sets, percent)
     if more is not None:
         more = common.stage(more, "more_links")
         links = links.unionByName(more)
-        labels = components(links)
+        # these links join components that are known: only their roots go through union-find again
+        ends = more.join(labels.toDF("id", "a"), "id", "left").join(labels.toDF("center", "b"), "center", "left")
+        joined = components(ends.select(F.coalesce("a", "id").alias("a"), F.coalesce("b", "center").alias("b")))
+        rooted = rooted.join(joined.toDF("root", "further"), "root", "left").withColumn("root", F.coalesce("further", "root"))
     degree = (
         links.select("id").unionByName(links.select(F.col("center").alias("id"))).groupBy("id").agg(F.count("id").alias("n_links")))
-    label = classes.join(labels, "id", "left").join(degree, "id", "left").select(
-        "hi", "lo", F.coalesce("root", "id").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    label = rooted.join(degree, "id", "left").select("hi", "lo", "root", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     filled = F.col("n_shingles") > 0
     return (
         sketch.select("doc_id", "n_shingles", "hi", "lo").join(label, ["hi", "lo"], "left")
