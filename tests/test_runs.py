@@ -1,5 +1,7 @@
 """Whole runs on small files."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,13 +162,25 @@ def test_batch_is_the_single_runs(spark, write, tmp_path, columns, period):
             assert rows["mean"].tolist() == single[f"value_{instrument}"]
             assert len(rows) == len(single["timestamp"])
         assert mine.instrument.nunique() == len(single) - 1
-    tsnorm.write_files(long, str(tmp_path / "out"))
+    tsnorm.write_files(long, str(tmp_path / "out"), files=run.instruments)
     assert sorted(p.name for p in (tmp_path / "out").glob("source_file=*")) == [
         "source_file=one_ForExport", "source_file=two_ForExport"]
     back = spark.read.csv(str(tmp_path / "out"), header=True)
     assert back.count() == long.count()
 
 
+def test_batches_do_not_mix_files_of_one_name(spark, tmp_path):
+    long = spark.createDataFrame(
+        [(f, "x", datetime(2020, 1, 1), 1.0) for f in ("in/x/a.csv", "in/y/a.csv", "in/y/b.csv")],
+        "source_file string, instrument string, timestamp timestamp, mean double")
+    for files in (None, long.select("source_file")):
+        with pytest.raises(ValueError, match="1 folder names .* a_ForExport: 2 files, such as in/x/a.csv and in/y/a.csv"):
+            tsnorm.write_files(long, str(tmp_path / "out"), files=files)
+    assert not (tmp_path / "out").exists()
+    tsnorm.write_files(long.where("source_file <> 'in/y/a.csv'"), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("source_file=*"))) == 2
+
+
 def test_gap_filling_is_cut_by_the_rows_it_makes(spark, write):
     rows = [(1, "x", "00:00:00.000", 1), (1, "x", "00:00:00.010", 2), (1, "x", "08:00:00.0", 3)]
     run = tsnorm.normalize_files(spark, "archive", write("a.csv", archive(*rows)), period="10L")

@@ -127,8 +127,9 @@ def batch_resample(table):
 
 # --- sources and projections ---
 
-def archive_rows(table) -> DataFrame:
+def archive_rows(table, *others: str) -> DataFrame:
     return table("events").select(
+        *others,
         V.tag_key(F.col("user_id").cast("string")).alias("tag_id"),
         F.concat(F.lit("user-"), F.col("user_id"), F.lit(".pv")).alias("tag_name"),
         T.round_ms(F.col("ts")).alias("ts"), "value", F.col("event_id").alias("ord"))
@@ -315,8 +316,7 @@ def replace_series(table):
 
 @query
 def archive_merge(table):
-    rows = archive_rows(table).join(
-        table("events").select(F.col("event_id").alias("ord"), "event_type"), "ord")
+    rows = archive_rows(table, "event_type")
     first = rows.where("event_type in ('view', 'click')").drop("event_type")
     second = rows.where("event_type = 'error'").select("value", "ts", "ord", "tag_id")
     third = rows.where("event_type not in ('view', 'click', 'error')").drop("event_type")

@@ -52,10 +52,22 @@ def export_name(source_file):
     return F.concat(name, F.lit("_ForExport"))
 
 
+def check_names(files: DataFrame) -> None:
+    """Refuse source files that would share a folder; ``files`` has one row or more per source file."""
+    clashing = (
+        files.select("source_file").distinct().groupBy(export_name(F.col("source_file")).alias("name"))
+        .agg(F.count("*").alias("n"), F.min("source_file").alias("first"), F.max("source_file").alias("last")).where("n > 1"))
+    shown = clashing.orderBy("name").limit(20).collect()
+    if shown:
+        listed = "; ".join(f"{r['name']}: {r['n']} files, such as {r['first']} and {r['last']}" for r in shown)
+        raise ValueError(f"{clashing.count()} folder names would hold several source files: {listed}")
+
+
 def write_files(
     long: DataFrame,
     path: str,
     *,
+    files: DataFrame | None = None,
     sep: str = ",",
     encoding: str = "utf_8",
     time_format: str = DEFAULT_FORMATS["normalized"],
@@ -63,8 +75,12 @@ def write_files(
     """One folder ``source_file=<name>_ForExport`` per source file under ``path``.
 
     Rows are rebalanced by source file, which splits a big file over tasks and packs small
-    ones, and sorted by time and instrument in each part.
+    ones, and sorted by time and instrument in each part. Files of one base name in several
+    folders would be mixed, so they are refused before anything is written. ``files`` is a small
+    table with the source files, such as ``instruments`` of a run; without it, ``long`` is gone
+    through once more for them.
     """
+    check_names(long if files is None else files)
     shown = long.withColumn("source_file", export_name(F.col("source_file")))
     parts = shown.hint("rebalance", F.col("source_file"))
     parts = parts.sortWithinPartitions("source_file", "timestamp", "instrument")
