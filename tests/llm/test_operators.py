@@ -162,6 +162,47 @@ def test_substrings_repeated_across_documents_go(spark):
     assert substring_dedup.dedup_substrings(documents(spark, [])).count() == 0
 
 
+def repeated_words(rows, least=20):
+    """Brute force: for each row the words that lie in a run of ``least`` words that stands in a row of smaller
+    doc_id, or earlier in the same row without overlap."""
+    spans = [[m.span() for m in re.finditer(rb"[^ \t-\r]+", t.encode())] for _, t in rows]
+    runs = [[t.encode()[s[i][0]:s[i + least - 1][1]] for i in range(len(s) - least + 1)] for (_, t), s in zip(rows, spans, strict=True)]
+    owner = {}
+    for (doc, _), own in zip(rows, runs, strict=True):
+        for run in own:
+            owner[run] = min(doc, owner.get(run, doc))
+    out = []
+    for (doc, _), own, s in zip(rows, runs, spans, strict=True):
+        first, gone = {}, set()
+        for i, run in enumerate(own):
+            if owner[run] < doc or i - first.setdefault(run, i) >= least:
+                gone.update(range(i, i + least))
+        out.append((s, gone))
+    return out
+
+
+def same_as_brute_force(spark, rows):
+    got = {r["doc_id"]: r for r in substring_dedup.dedup_substrings(documents(spark, rows).repartition(5)).collect()}
+    for (doc, text), (spans, gone) in zip(rows, repeated_words(rows), strict=True):
+        r = got[doc]
+        inside = {i for i, (a, b) in enumerate(spans) for x in r["removed_spans"] if x["begin"] <= a and b <= x["end"]}
+        assert inside == gone and r["removed_words"] == len(gone), doc
+    return got
+
+
+def test_no_repeated_passage_is_missed(spark):
+    """Passages of 20 to 100 words, periodic ones too, each in two documents between words of their own."""
+    rows = []
+    for i in range(600):
+        n, line = (20, 21, 51, 60, 100)[i % 5], prose(9000 + i, i % 9 + 1).split(" ")
+        passage = prose(5000 + i, n) if i % 4 else " ".join((line * n)[:n])
+        rows += [(2 * i + k, f"{prose(20000 + 2 * i + k, 15)}\n{passage} {prose(40000 + 2 * i + k, 15)}") for k in (0, 1)]
+    rows += [(5000, " ".join(["a"] * 100)), (5001, prose(1, 30) + " x " + prose(1, 30)), (5002, " ".join(["a b c d e f g"] * 10))]
+    got = same_as_brute_force(spark, rows)
+    assert all(got[2 * i + 1]["removed_words"] >= (20, 21, 51, 60, 100)[i % 5] for i in range(600))
+    assert all(got[2 * i]["removed_words"] == 0 for i in range(600) if i % 4)
+
+
 def test_gear_chunks_resist_shifts():
     text = prose(9, 400)
     def cut(s):

@@ -1,4 +1,4 @@
-"""Substring deduplication: chunks cut by content with a gear hash, deduplicated by digest."""
+"""Substring deduplication: runs of words found by winnowed seeds, deduplicated by digest."""
 
 from __future__ import annotations
 
@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from tsnorm.llm import common
 
+# gear and chunks are a cutter by content of its own; ``repeated`` does not use it
 GEAR = (common.mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 REACH = 16  # a gear hash of 16 bits holds the last 16 bytes
-CHUNKS = "doc long, version long, begins binary, ends binary, words binary, digests binary, again boolean"
+RUNS = "doc long, version long, places binary, begins binary, ends binary, digests binary, again boolean"
 NO_SPANS = "cast(array() as array<struct<begin: int, end: int>>)"
 LAST = 2**63 - 1  # stands for a null doc_id
 FILTER_BITS = 1 << 27  # at most 16 MB on each executor; a fuller filter only passes more to the join
+SEED_BITS = 1 << 28  # 32 MB for the seeds, which are more
 
 
 def gear(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -53,9 +55,44 @@ def keyed(docs: DataFrame) -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(F.col("text").cast("string")).alias("version")]
 
 
-def chunked(docs: DataFrame, mean_words: int) -> DataFrame:
-    """One row per document with the chunks' byte ranges, words and 128-bit digests, and whether a
-    digest occurs again in it; staged."""
+def seeds(data: np.ndarray, offsets: np.ndarray, mean_words: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, first word of each row, every run of ``min_words`` words within a
+    row (by its first word), the run's seed (by its first word) and the hashes of all grams. The seed is the
+    least gram of the run, the last of equals, so it follows the run's words alone: where a run is
+    repeated, so is its seed. Seeds are ``mean_words`` apart on average."""
+    starts, ends, first = common.words(data, offsets, common.SPACED_WORD)
+    reach = min(2 * mean_words - 1, min_words)
+    grams = common.gram_hashes(common.word_hashes(data, starts, ends), min_words - reach + 1)
+    n = max(0, len(grams) - reach + 1)
+    least, at = grams[:n].copy(), np.zeros(n, np.int64)
+    for j in range(1, reach):
+        better = grams[j:j + n] <= least
+        np.copyto(least, grams[j:j + n], where=better)
+        at[better] = j
+    left = np.repeat(first[1:], np.diff(first))[:n] - np.arange(n)  # words to the end of the row
+    runs = np.flatnonzero(left >= min_words)
+    return starts, ends, first, runs, runs + at[runs], grams
+
+
+def seeds_seen_twice(texts: DataFrame, mean_words: int, min_words: int) -> DataFrame:
+    """Hashes of the seeds that stand at two places or more, staged."""
+
+    @common.tidy
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = common.text_bytes(batch.column(2))
+            for lo, hi in common.slices(offsets, 1 << 20):
+                *_, seed, grams = seeds(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], mean_words, min_words)
+                found, n = np.unique(grams[np.unique(seed)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(common.signed(found)), pa.array(n.astype(np.int64))], ["seed", "n"])
+
+    counts = texts.mapInArrow(scan, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+    return common.stage(counts.filter("n > 1").select("seed"), "seeds")
+
+
+def candidates(texts: DataFrame, bits, mean_words: int, min_words: int) -> DataFrame:
+    """One row per document with runs of ``min_words`` words whose seed may be in the filter: the runs' places (in
+    words), byte ranges and 128-bit digests, and whether a digest occurs again in it; staged."""
 
     @common.tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,25 +100,29 @@ def chunked(docs: DataFrame, mean_words: int) -> DataFrame:
             data, offsets = common.text_bytes(batch.column(2))
             for lo, hi in common.slices(offsets, 1 << 20):
                 part, bounds = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
-                begins, ends, words, first = chunks(part, bounds, mean_words)
+                starts, ends, first, runs, seed, grams = seeds(part, bounds, mean_words, min_words)
+                runs = runs[common.may_hold(bits.value, grams[seed])]
+                edges = np.searchsorted(runs, first)
+                rows = np.flatnonzero(np.diff(edges))  # all others have no run
+                edges = np.append(edges[rows], len(runs))
+                begins, ends = starts[runs], ends[runs + min_words - 1]
                 raw = memoryview(part.tobytes())
                 digest = xxhash.xxh3_128_digest
                 digests = [digest(raw[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
-                edges = first.tolist()
-                again = [len(set(digests[a:b])) < b - a for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                base = np.repeat(bounds[:-1], np.diff(first))
+                again = [len(set(digests[a:b])) < b - a for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+                row = np.repeat(rows, np.diff(edges))
+                at = pa.array(lo + rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
-                     common.binary((begins - base).astype(np.int32), first), common.binary((ends - base).astype(np.int32), first),
-                     common.binary(words.astype(np.int32), first),
-                     common.binary(np.frombuffer(b"".join(digests), np.dtype("V16")), first), pa.array(again, pa.bool_())],
-                    ["doc", "version", "begins", "ends", "words", "digests", "again"])
+                    [batch.column(0).take(at), batch.column(1).take(at), common.binary((runs - first[row]).astype(np.int32), edges),
+                     common.binary((begins - bounds[row]).astype(np.int32), edges), common.binary((ends - bounds[row]).astype(np.int32), edges),
+                     common.binary(np.frombuffer(b"".join(digests), np.dtype("V16")), edges), pa.array(again, pa.bool_())],
+                    ["doc", "version", "places", "begins", "ends", "digests", "again"])
 
-    return common.stage(docs.select(*keyed(docs), F.col("text").cast("string").alias("text")).mapInArrow(scan, CHUNKS), "chunks")
+    return common.stage(texts.mapInArrow(scan, RUNS), "runs")
 
 
-def occurrences(staged: DataFrame, bits=None) -> DataFrame:
-    """Chunks of every document, each digest once: doc, version, hi, lo. ``bits``: only those that may be in a filter."""
+def occurrences(staged: DataFrame) -> DataFrame:
+    """Runs of every document, each digest once: doc, version, hi, lo."""
 
     @common.tidy
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,9 +131,6 @@ def occurrences(staged: DataFrame, bits=None) -> DataFrame:
             ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
             both = np.frombuffer(column.buffers()[2] or b"", np.uint64)[ends[0] // 8:ends[-1] // 8].reshape(-1, 2)
             row = np.repeat(np.arange(len(batch)), np.diff(ends) // 16)
-            if bits is not None:
-                keep = common.may_hold(bits.value, both[:, 0])
-                both, row = both[keep], row[keep]
             order = np.lexsort((both[:, 1], both[:, 0], row))
             both, row = both[order], row[order]
             once = np.ones(len(row), bool)
@@ -111,20 +149,23 @@ def repeated(docs: DataFrame, mean_words: int = 6, min_words: int = 20) -> DataF
     version (see ``keyed``), spans (array of [begin, end) in UTF-8 bytes), words. Staged; only
     documents with such passages have a row, equal rows share one.
 
-    Every document is cut into chunks of ``mean_words`` on average at places that the text alone
-    decides, so an insertion moves no other chunk. Digests (128 bits) are counted with their least
-    doc_id before the shuffle. Those seen twice make a bit filter of bounded size, with which the
-    staged chunks are read again; what passes is joined exactly. Runs of neighbouring repeated chunks with at
-    least ``min_words`` words are passages; shorter ones, such as set phrases, stay.
+    A word is repeated if it lies in a run of ``min_words`` words that stands byte for byte at such a
+    place (within one document, at one that does not overlap it). Every run has a seed, one of its grams, chosen
+    by its words alone. Seeds that stand at one place only cannot lie in a repeated run; a bit filter of
+    bounded size over all others picks the runs that are candidates. Their digests (128 bits)
+    are counted with their least doc_id before the shuffle, and those seen twice are joined exactly.
+    So no repeated run is missed, and none is taken whose words stand nowhere else.
     """
-    staged = chunked(docs, mean_words)
+    texts = docs.select(*keyed(docs), F.col("text").cast("string").alias("text"))
+    twice = seeds_seen_twice(texts, mean_words, min_words)
+    bits = docs.sparkSession.sparkContext.broadcast(
+        common.bit_filter(twice, "seed", common.filter_size(twice.count(), SEED_BITS)))
+    staged = candidates(texts, bits, mean_words, min_words)
     owners = common.stage(
         occurrences(staged).groupBy("hi", "lo").agg(F.min("doc").alias("owner"), F.count("doc").alias("n"))
         .filter("n > 1").select("hi", "lo", "owner"), "owners")
-    bits = docs.sparkSession.sparkContext.broadcast(
-        common.bit_filter(owners, "hi", common.filter_size(owners.count(), FILTER_BITS)))
     known = common.stage(
-        occurrences(staged, bits).join(owners, ["hi", "lo"]).filter(F.col("doc") > F.col("owner"))
+        occurrences(staged).join(owners, ["hi", "lo"]).filter(F.col("doc") > F.col("owner"))
         .groupBy("doc", "version").agg(F.collect_list("hi").alias("hi")), "known")
     key = F.xxhash64("doc", "version")
     alone, shared = common.divide(staged, key, known.select(key.alias("h")), FILTER_BITS)
@@ -134,7 +175,7 @@ def repeated(docs: DataFrame, mean_words: int = 6, min_words: int = 20) -> DataF
         for batch in batches:
             at, spans, words = [], [], []
             for i in range(len(batch)):
-                found = passages(*(batch.column(c)[i].as_buffer() for c in ("begins", "ends", "words", "digests")),
+                found = passages(*(batch.column(c)[i].as_buffer() for c in ("places", "begins", "ends", "digests")),
                                  batch.column("hi")[i].values, min_words)
                 if found:
                     at.append(i)
@@ -147,26 +188,26 @@ def repeated(docs: DataFrame, mean_words: int = 6, min_words: int = 20) -> DataF
 
     both = alone.filter("again").withColumn("hi", F.expr("cast(null as array<long>)")).unionByName(
         shared.join(known, ["doc", "version"], "left").filter(F.col("again") | F.col("hi").isNotNull()))
-    found = both.select("doc", "version", "begins", "ends", "words", "digests", "hi").mapInArrow(
+    found = both.select("doc", "version", "places", "begins", "ends", "digests", "hi").mapInArrow(
         runs, "doc long, version long, spans array<struct<begin: int, end: int>>, words long")
     return common.stage(found.dropDuplicates(["doc", "version"]), "spans")
 
 
-def passages(begins, ends, words, digests, known, min_words: int) -> list[tuple[int, int, int]]:
-    """Runs of repeated chunks of one document: begin, end, words."""
+def passages(places, begins, ends, digests, known, min_words: int) -> list[tuple[int, int, int]]:
+    """Passages of one document, which are repeated runs that overlap: begin, end, words."""
     both = np.frombuffer(digests, np.uint64).reshape(-1, 2)
-    if len(both) == 0:
-        return []
-    _, once = np.unique(both[:, 0] ^ common.mix(both[:, 1]), return_index=True)
-    again = np.ones(len(both), bool)
-    again[once] = False
+    places, begins, ends = (np.frombuffer(x, np.int32) for x in (places, begins, ends))
+    _, first, same = np.unique(both[:, 0] ^ common.mix(both[:, 1]), return_index=True, return_inverse=True)
+    again = places - places[first[same]] >= min_words
     if known is not None and len(known):
         again |= np.isin(both[:, 0], known.to_numpy(zero_copy_only=False).view(np.uint64))
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], again, [False])).astype(np.int8)))
-    begins, ends, words = (np.frombuffer(x, np.int32) for x in (begins, ends, words))
+    places, begins, ends = places[again], begins[again], ends[again]
+    if len(places) == 0:
+        return []
+    edge = np.flatnonzero(np.diff(places) >= min_words)
     return [
-        (int(begins[a]), int(ends[b - 1]), n)
-        for a, b in zip(edge[::2], edge[1::2], strict=True) if (n := int(words[a:b].sum())) >= min_words
+        (int(begins[a]), int(ends[b]), int(places[b] - places[a]) + min_words)
+        for a, b in zip(np.append(0, edge + 1), np.append(edge, len(places) - 1), strict=True)
     ]
 
 
@@ -187,7 +228,7 @@ def dedup_substrings(docs: DataFrame, mean_words: int = 6, min_words: int = 20)
     The first document by doc_id keeps a passage; within one document the first place does. Rows
     that share a doc_id count as one document and keep each other's passages, and so do those
     whose doc_id is null, after all others. Null texts stay null, empty ones empty, and a text without
-    white space is one chunk. Columns of the input named like those added are replaced; all others stay.
+    white space is one word. Columns of the input named like those added are replaced; all others stay.
     """
     found = repeated(docs, mean_words, min_words)
     # only documents with passages travel to the join
