@@ -203,6 +203,20 @@ def test_no_repeated_passage_is_missed(spark):
     assert all(got[2 * i]["removed_words"] == 0 for i in range(600) if i % 4)
 
 
+def test_unique_text_of_repeated_pieces_stays(spark):
+    """Documents put together of short pieces, cut by content, that all stand in earlier ones, but never in this order."""
+    def ends_a_chunk(piece):
+        data = np.frombuffer(f"{piece} x".encode(), np.uint8)
+        return len(data) - 1 in substring_dedup.chunks(data, np.array([0, len(data)]), 6)[0]
+    pieces = [p for p in (prose(60000 + i, 3 + i % 5) for i in range(900)) if ends_a_chunk(p)][:60]
+    rows = [(i, f"{prose(800 + i, 12)} {pieces[0]} {p} {prose(900 + i, 12)}") for i, p in enumerate(pieces)]
+    rng = random.Random(4)
+    rows += [(100 + i, " ".join(rng.sample(pieces, 20))) for i in range(40)]
+    rows += [(200, rows[70][1].partition(" ")[2])]
+    got = same_as_brute_force(spark, rows)
+    assert not any(r["removed_words"] for doc, r in got.items() if doc < 200) and got[200]["text"] == ""
+
+
 def test_gear_chunks_resist_shifts():
     text = prose(9, 400)
     def cut(s):
