@@ -50,7 +50,7 @@ STAGES = [
     ("decontamination", without_benchmark),
     ("packing", packed),
 ]
-ORACLE_SQL = None  # packing needs a tokenizer, language ID a model: tests compare with brute force
+ORACLE_SQL = None  # packing needs a tokenizer, language ID a model: tests/llm/test_operators.py compares the stages with plain Python
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tsnorm.llm import (
     chat, common, components, decontamination, language, near_dedup, packing, queries, search, sharding, substring_dedup, token_files, tokens,
     url_filter,
@@ -355,3 +356,57 @@ def test_chat_windows_read_back(spark):
     for r in formatted.collect():
         assert r["tokens"] <= 200 or r["n_turns"] == 1
     assert any(r["n_context"] for r in formatted.collect()) and chat.windows(df.limit(0)).count() == 0
+
+
+def test_pipeline_stages_match_plain_python(spark, tmp_path):
+    """What each stage before packing keeps and what its texts become, on planted copies, passages, benchmark words and clean documents."""
+    items = [(i, prose(70000 + i, 30)) for i in range(5)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(i, prose(71000 + i, 60 + i)) for i in range(40)]
+    for i in range(10):
+        copy = rows[i][1].split(" ")
+        copy[7 * i % 50] = "changed"
+        rows += [(100 + i, " ".join(copy)), (120 + i, rows[i][1])]
+        passage = " ".join(rows[20 + i][1].split(" ")[10:10 + 15 + i])
+        rows += [(140 + i, f"{prose(72000 + i, 40)}\n{passage} {prose(73000 + i, 40)}")]
+        asked = " ".join(items[i % 5][1].split(" ")[5:5 + 7 + i])
+        rows += [(160 + i, f"{prose(74000 + i, 40)} {asked} {prose(75000 + i, 40)}")]
+    rows += [(200, "1 2 3 ..."), (201, "")]
+    random.Random(5).shuffle(rows)
+    docs = spark.createDataFrame([(i, t, "xx", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def languages(rows):
+        return {i: t for i, t in rows.items() if re.search(r"[^\W\d]", t)}
+
+    def copies(rows):
+        sets = {i: {tuple(w[j:j + 5]) for j in range(len(w) - 4)} for i, w in ((i, t.lower().split()) for i, t in rows.items())}
+        root = {i: i for i in rows}
+        for a in sorted(rows):
+            for b in sorted(rows):
+                if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                    old, new = max(root[a], root[b]), min(root[a], root[b])
+                    root = {i: new if r == old else r for i, r in root.items()}
+        return {i: t for i, t in rows.items() if root[i] == i}
+
+    def passages(rows):
+        out, some = {}, list(rows.items())
+        for (i, t), (spans, gone) in zip(some, repeated_words(some), strict=True):
+            raw, out[i], at = t.encode(), b"", 0
+            for w in sorted(gone):  # the space between two words that go goes too
+                out[i] += raw[at:spans[w][0]] if w - 1 not in gone else b""
+                at = spans[w][1]
+            out[i] = (out[i] + raw[at:]).decode()
+        return out
+
+    def benchmark(rows):
+        windows = {tuple(w[j:j + 10]) for w in (plain_words(t) for _, t in items) for j in range(len(w) - 9)}
+        return {i: t for i, t in rows.items() if not any(tuple(w[j:j + 10]) in windows for w in [plain_words(t)] for j in range(len(w) - 9))}
+
+    want, lost = dict(rows), []
+    for (name, stage), plain in zip(corpus_pipeline.STAGES[:-1], (languages, copies, passages, benchmark), strict=True):
+        docs = common.stage(stage(spark, docs, str(tmp_path)), name)
+        before, want = want, plain(want)
+        assert {r["doc_id"]: r["text"] for r in docs.collect()} == want, name
+        assert docs.filter("n_chars <> length(text)").count() == 0 and docs.count() == len(want), name
+        lost.append(sum(want.get(i) != t for i, t in before.items()))
+    assert all(lost) and want[39] == next(t for i, t in rows if i == 39)
