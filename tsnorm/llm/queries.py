@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsnorm.llm import (
-    chat, common, decontamination, language, near_dedup, packing, search, sharding, substring_dedup, token_files, url_filter,
+    chat, common, decontamination, hard_negatives, language, near_dedup, packing, quality, search, sharding, substring_dedup, token_files,
+    url_filter, whitening,
 )
 from tsnorm.llm.oracles import ORACLES
 
@@ -96,6 +97,35 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read(spark, path))
 
 
+def op11_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, policy = quality.POLICIES[0], quality.POLICIES[-1]
+    rows = quality.decide(quality.ledger(table(spark, sf_dir, "documents")), policy)
+    failed = F.col("failed").bitwiseAND(F.lit(quality.mask(base)).cast("long")) != 0
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "kept", "n_lines", "failed")
+
+
+def finite_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """embeddings with a vector that has no null and no entry that is not finite."""
+    return table(spark, sf_dir, "embeddings").filter(F.col("embedding").isNotNull() & F.forall(
+        "embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = finite_vectors(spark, sf_dir).select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: F.floor(64 * c.cast("double")) + 1_000_000).alias("x"))
+    return whitening.whiten(common.stage(rows, "vectors"), components=16)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = finite_vectors(spark, sf_dir).filter("label is not null").select(
+        common.row_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), moved.cast("long").alias("label"),
+        F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("vec"))
+    rows = common.stage(rows, "vectors")
+    return hard_negatives.hard_negatives(rows, rows.filter("vec_id % 100 = 0"), positives=5, negatives=5)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,6 +136,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_chat_windows, op3_near_duplicates, op4_packing, op5_top_products, op6_hash_ring, op7_substring_dedup,
-        op8_url_filter, op9_decontamination, op10_token_files, pipeline)
+        op8_url_filter, op9_decontamination, op10_token_files, op11_quality_ledger, op12_whitening, op13_hard_negatives, pipeline)
 }
 __all__ = ["ORACLES", "QUERIES"]
