@@ -21,7 +21,7 @@ LETTERS = "\u0250"  # below it, all versions of Unicode have the same letters
 class Pieces(dict):
     """Ids of pieces of text, as bytes of 4 each. A piece starts at a space or a line feed, where the
     pre-tokenizer of a byte-level BPE always cuts, so a text's ids are those of its pieces in
-    turn. The cache only saves time: it is emptied when it is full."""
+    turn, unless it holds an added token. The cache only saves time: it is emptied when it is full."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -29,10 +29,10 @@ class Pieces(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.by_piece = cuts_at_spaces(self.tokenizer)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.model = self.tokenizer.model
         letter = self.tokenizer.pre_tokenizer.pre_tokenize_str if self.by_piece else None
         # how the pre-tokenizer spells each byte of a letter or of the space before it
@@ -50,7 +50,7 @@ class Pieces(dict):
         elif core[-1:] in (",", ".") and core[-2:-1].isalpha():
             found = self[piece[:-1]] + self[piece[-1]]
         else:
-            found = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+            found = self.whole(piece)
         self[piece] = found
         return found
 
@@ -58,7 +58,11 @@ class Pieces(dict):
         if not self.by_piece:
             encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [array("I", e.ids).tobytes() for e in encoded]
-        return [b"".join(map(self.__getitem__, cut_text(t))) for t in texts]
+        return [self.whole(t) if any(a in t for a in self.added) else b"".join(map(self.__getitem__, cut_text(t))) for t in texts]
+
+    def whole(self, text: str) -> bytes:
+        """Ids of a text by the library alone; it cuts at added tokens before all else."""
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 def cuts_at_spaces(tokenizer) -> bool:
