@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from copy import copy
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 # Settings the engine wants; everything else is left to the cluster.
 SETTINGS = {
@@ -88,3 +90,10 @@ class Small:
         else:
             self.rows = None
             self.frame = scratch.table(df, name)
+
+    def where(self, keep: Callable[[dict], bool], condition: Column) -> Small:
+        """Some of the rows, told twice: for those on the driver and for the frame."""
+        out = copy(self)
+        out.rows = None if self.rows is None else [r for r in self.rows if keep(r)]
+        out.frame = self.frame.where(condition)
+        return out

@@ -14,15 +14,14 @@ from tsnorm.functions.names import sanitize_name
 from tsnorm.functions.times import DEFAULT_FORMATS, parse_ts, round_ms
 from tsnorm.functions.values import lenient_double, lenient_long, tag_key
 from tsnorm.operators.dedupe import last_wins
-from tsnorm.operators.merge import union_all
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.scan import (
     CsvOptions,
     NoData,
     Readings,
+    read_cells,
     read_headers,
     reject_duplicates,
-    scan_cells,
     without_duplicates,
 )
 
@@ -63,22 +62,22 @@ def archive_to_readings(
 def read_archive(
     spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch
 ) -> Readings:
-    headers = read_headers(spark, paths, opts, scratch)
+    headers = read_headers(spark, paths, opts, scratch, per_file)
     frame = headers.frame
     keys = ("source_file",) if per_file else ()
     if per_file:
         frame = without_duplicates(headers).where("width >= 6")
-        frame = frame.select("source_file", *[F.lit(i + 1).alias(f"p{i}") for i in range(6)])
+        frame = frame.select("file_no", "source_file", *[F.lit(i + 1).alias(f"p{i}") for i in range(6)])
     else:
         reject_duplicates(headers)
         if headers.rows is not None:
-            base = min(headers.rows, key=lambda r: (r["entry"], r["source_file"]))
+            base = min(headers.rows, key=lambda r: r["file_no"])
         else:
-            base = frame.agg(F.min_by(F.struct("width", "names"), F.struct("entry", "source_file"))).first()[0]
+            base = frame.agg(F.min_by(F.struct("width", "names"), "file_no")).first()[0]
         if base["width"] < 6:
             raise NoData(f"no data found: an archive file has 6 columns, this one {base['width']}")
         # merge files are aligned to the base file by column name
-        frame = frame.select("source_file", *[
+        frame = frame.select("file_no", "source_file", *[
             F.lit(i + 1).alias(f"p{i}") if name is None
             else F.array_position("names", F.lit(name)).cast("int").alias(f"p{i}")
             for i, name in enumerate(base["names"][:6])
@@ -86,31 +85,28 @@ def read_archive(
     places = Small(frame, scratch, "places")
     if places.rows is not None and not places.rows:
         raise NoData("no data found: no file with the 6 columns of an archive")
-    n_files = len(headers.rows) if headers.rows is not None else -1
-    straight = places.rows is not None and len(places.rows) == n_files and all(
+    n_files = headers.files.n
+    straight = places.rows is not None and headers.rows is not None and len(places.rows) == len(headers.rows) and all(
         r[f"p{i}"] == i + 1 for r in places.rows for i in range(6)
     )
 
     fmt = opts.time_format or DEFAULT_FORMATS["archive"]
-    parts = []
-    for entry, path in enumerate(paths):
-        cells = scan_cells(spark, path, opts, max(headers.width, 6))
-        if straight:
-            picked = {role: F.col(f"_c{i}") for i, role in enumerate(ROLES)}
-        else:
-            cells = cells.join(places.frame, "source_file")
-            row = F.array(*[F.col(f"_c{i}") for i in range(max(headers.width, 6))])
-            # position 0 (a name the file lacks) reads as missing
-            picked = {role: F.get(row, F.col(f"p{i}") - 1) for i, role in enumerate(ROLES)}
-        parts.append(cells.select(
-            "source_file",
-            tag_key(picked["tag_id"]).alias("tag_id"),
-            picked["tag_name"].alias("tag_name"),
-            round_ms(parse_ts(picked["time"], fmt), picked["time"]).alias("ts"),
-            lenient_double(picked["value"]).alias("value"),
-            headers.order.of(None if per_file else entry, len(paths)).alias("ord"),
-        ))
-    rows = union_all(parts)
+    cells = read_cells(spark, headers, opts, scratch, least=6)
+    if straight and (per_file or n_files == 1):
+        picked = {role: F.col(f"_c{i}") for i, role in enumerate(ROLES)}
+    else:
+        cells = cells.join(places.frame, "source_file")
+        row = F.array(*[F.col(f"_c{i}") for i in range(max(headers.width, 6))])
+        # position 0 (a name the file lacks) reads as missing
+        picked = {role: F.col(f"_c{i}") if straight else F.get(row, F.col(f"p{i}") - 1) for i, role in enumerate(ROLES)}
+    rows = cells.select(
+        "source_file",
+        tag_key(picked["tag_id"]).alias("tag_id"),
+        picked["tag_name"].alias("tag_name"),
+        round_ms(parse_ts(picked["time"], fmt), picked["time"]).alias("ts"),
+        lenient_double(picked["value"]).alias("value"),
+        headers.order.of(not per_file and n_files != 1).alias("ord"),
+    )
 
     tags = Small(tag_dimension(rows, keys), scratch, "tags")
     if tags.rows is not None:

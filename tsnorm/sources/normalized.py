@@ -11,16 +11,15 @@ from tsnorm.functions.names import BIAS_NAMES, sanitize_name
 from tsnorm.functions.times import DEFAULT_FORMATS, parse_ts, round_ms
 from tsnorm.functions.values import lenient_double
 from tsnorm.operators.dedupe import last_wins
-from tsnorm.operators.merge import union_all
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.scan import (
     CsvOptions,
     NoData,
     Readings,
     one_layout,
+    read_cells,
     read_headers,
     reject_duplicates,
-    scan_cells,
     value_columns,
     without_duplicates,
 )
@@ -38,13 +37,14 @@ def wide_unpivot(
     return rows.select(*id_columns, cells).select(*id_columns, "cell.*").where("value is not null")
 
 
-def explode_values(rows: DataFrame, cols: Small, entry: int, id_columns: Sequence[str]) -> DataFrame:
+def explode_values(rows: DataFrame, cols: Small, id_columns: Sequence[str]) -> DataFrame:
     """Rows with a ``vals`` array to one row per value: ``instrument, series, value``.
 
-    When all files of an entry share their columns the names are literals and ``vals`` holds
-    just those; otherwise names are joined by file and ``vals`` holds every cell.
+    When all files share their columns the names are literals and ``vals`` holds
+    just those; otherwise names are joined by file and ``vals`` holds every cell. ``id_columns`` have ``file_no``, or the
+    ``source_file`` where no file is there twice.
     """
-    shared = one_layout(cols, entry)
+    shared = one_layout(cols)
     if shared is not None:
         names = F.array(*[F.lit(c["instrument"]) for c in shared])
         series = F.array(*[F.lit(c["series"]) for c in shared])
@@ -56,7 +56,8 @@ def explode_values(rows: DataFrame, cols: Small, entry: int, id_columns: Sequenc
             F.get(series, F.col("at")).alias("series"),
             "value",
         )
-    named = rows.join(cols.frame.where(F.col("entry") == entry).select("source_file", "cols"), "source_file")
+    by = "file_no" if "file_no" in id_columns else "source_file"
+    named = rows.join(cols.frame.select(by, "cols"), by)
     cells = F.transform("cols", lambda c: F.struct(
         c["instrument"].alias("instrument"), c["series"].alias("series"),
         F.get(F.col("vals"), c["pos"]).alias("value")))
@@ -64,9 +65,9 @@ def explode_values(rows: DataFrame, cols: Small, entry: int, id_columns: Sequenc
         *id_columns, "cell.*").where("value is not null")
 
 
-def value_array(cols: Small, entry: int, width: int) -> Column:
+def value_array(cols: Small, width: int) -> Column:
     """The number cells of a row that :func:`explode_values` expects."""
-    shared = one_layout(cols, entry)
+    shared = one_layout(cols)
     places = [c["pos"] for c in shared] if shared is not None else range(width)
     return F.array(*[lenient_double(F.col(f"_c{p}")) for p in places])
 
@@ -81,13 +82,13 @@ def no_name_twice(cols: Small) -> bool:
 def read_normalized(
     spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch
 ) -> Readings:
-    headers = read_headers(spark, paths, opts, scratch)
+    headers = read_headers(spark, paths, opts, scratch, per_file)
     frame = headers.frame
     if per_file:
         frame = without_duplicates(headers)
     else:
         reject_duplicates(headers)
-    cells = frame.select("entry", "source_file", F.posexplode("names").alias("pos", "raw")).where(
+    cells = frame.select("file_no", "source_file", F.posexplode("names").alias("pos", "raw")).where(
         F.col("raw").isNotNull() & ~F.col("raw").isin(BIAS_NAMES) & (F.col("pos") > 0)
     )
     cells = cells.withColumn("instrument", sanitize_name(F.col("raw")))
@@ -97,24 +98,25 @@ def read_normalized(
 
     fmt = opts.time_format or DEFAULT_FORMATS["normalized"]
     keys = ("source_file",) if per_file else ()
-    parts = []
-    for entry, path in enumerate(paths):
-        rows = scan_cells(spark, path, opts, headers.width).select(
-            "source_file",
-            round_ms(parse_ts(F.col("_c0"), fmt), F.col("_c0")).alias("ts"),
-            value_array(cols, entry, headers.width).alias("vals"),
-            headers.order.of(None, 1).alias("ord"),
-        )
-        if per_file and (cols.rows is None or len(cols.rows) < len(headers.rows or [])):
-            rows = rows.join(cols.frame.select("source_file"), "source_file", "left_semi")
-        # the last row of a time replaces earlier rows of its file as a whole
-        rows = last_wins(rows.where("ts is not null"), ["source_file", "ts"], ["vals"], F.col("ord"))
-        long = explode_values(rows, cols, entry, ["source_file", "ts"])
-        parts.append(long.select(
-            *keys, "instrument", "ts", "value", "series",
-            F.struct("series", F.lit(entry).alias("entry"), "source_file").alias("ord"),
-        ))
-    out = union_all(parts)
+    merged = not per_file and headers.files.n > 1
+    cells = read_cells(spark, headers, opts, scratch)
+    if merged:
+        cells = cells.join(headers.frame.select("file_no", "source_file"), "source_file")
+    elif per_file and (cols.rows is None or len(cols.rows) < headers.files.n):
+        cells = cells.join(cols.frame.select("source_file"), "source_file", "left_semi")
+    file = "file_no" if merged else "source_file"
+    rows = cells.select(
+        file,
+        round_ms(parse_ts(F.col("_c0"), fmt), F.col("_c0")).alias("ts"),
+        value_array(cols, headers.width).alias("vals"),
+        headers.order.of(False).alias("ord"),
+    )
+    # the last row of a time replaces earlier rows of its file as a whole
+    rows = last_wins(rows.where("ts is not null"), [file, "ts"], ["vals"], F.col("ord"))
+    long = explode_values(rows, cols, [file, "ts"])
+    order = F.col("series").cast("bigint")
+    if merged:
+        order = order * headers.files.n + F.col("file_no")
+    out = long.select(*keys, "instrument", "ts", "value", "series", order.alias("ord"))
     instruments = cols.frame.select(*keys, F.explode("cols.instrument").alias("instrument")).distinct()
-    single = per_file or (headers.rows is not None and len(headers.rows) == 1)
-    return Readings(out, keys, instruments, single and no_name_twice(cols))
+    return Readings(out, keys, instruments, not merged and no_name_twice(cols))

@@ -16,13 +16,13 @@ from tsnorm.functions.values import null_tokens
 from tsnorm.operators.merge import union_all
 from tsnorm.operators.quality import duplicate_names
 from tsnorm.session import Scratch, Small
+from tsnorm.sources.files import Files, NoData, head_lines, list_files
+from tsnorm.sources.records import broken_splits, ends_inside, first_record, whole_records
 
 # A separator no logger file contains: the CSV source then gives whole lines.
 _NO_SEPARATOR = "\x01"
-
-
-class NoData(ValueError):
-    """The input holds nothing to process."""
+# The record a row was read from, where it has not as many cells as were asked for.
+_ODD = "_odd"
 
 
 class DuplicateColumns(ValueError):
@@ -31,13 +31,23 @@ class DuplicateColumns(ValueError):
 
 @dataclass(frozen=True)
 class CsvOptions:
-    """``sep`` longer than one character is a regular expression. A row of more than ``max_columns``
-    cells is an error; the parser keeps room for so many."""
+    """``sep`` longer than one character is a regular expression; quotes have no meaning then. A row of more than
+    ``max_columns`` cells is an error; the parser keeps room for so many. A row with cells beyond the columns of its
+    header is an error too, or left out if ``long_rows`` is ``skip``; empty cells there do not count. Files larger than one
+    split are looked through for quoted line breaks before they are read; ``quoted_breaks=False`` saves that pass where
+    there are none.
+    """
 
     sep: str = ","
     encoding: str = "UTF-8"
     time_format: str | None = None
     max_columns: int = 200_000
+    long_rows: str = "raise"
+    quoted_breaks: bool = True
+
+    def __post_init__(self):
+        if self.long_rows not in ("raise", "skip"):
+            raise ValueError("long_rows must be raise or skip")
 
     @property
     def spark_encoding(self) -> str:
@@ -80,19 +90,37 @@ def _positions() -> list[Column]:
     ]
 
 
-def scan_lines(spark: SparkSession, path: str, opts: CsvOptions, header: bool, size: bool = False) -> DataFrame:
-    """Whole lines; with ``header`` the first line of each file is left out, with ``size`` its length added."""
+def scan_lines(spark: SparkSession, files: Files, opts: CsvOptions, header: bool) -> DataFrame:
+    """Whole lines that are not blank; with ``header`` the first one of each file is left out."""
     reader = _reader(spark, opts, header).options(sep=_NO_SEPARATOR, quote="")
-    extra = [F.col("_metadata.file_size").alias("file_size")] if size else []
-    lines = reader.schema("line string").csv(path).select("line", *_positions(), *extra)
-    return lines.where("line is not null")
+    return reader.schema("line string").csv(files.roots).select("line", *_positions()).where("line is not null")
+
+
+def scan_physical_lines(spark: SparkSession, files: Files, opts: CsvOptions) -> DataFrame:
+    """All lines as they are, blank ones included where the files are UTF-8."""
+    if opts.spark_encoding.upper() not in ("UTF-8", "UTF8"):
+        return scan_lines(spark, files, opts, header=False)
+    return spark.read.text(files.roots).select(F.col("value").alias("line"), *_positions())
+
+
+def scan_records(spark: SparkSession, files: Files, opts: CsvOptions, scratch: Scratch) -> DataFrame:
+    """All records as text, line breaks of quoted cells included, with positions."""
+    lines = scan_lines(spark, files, opts, header=False)
+    if not opts.quoted_breaks or len(opts.sep) > 1:
+        return lines
+    physical = scan_physical_lines(spark, files, opts)
+    broken = Small(broken_splits(physical, opts.sep), scratch, "broken")
+    if broken.rows is not None and not broken.rows:
+        return lines
+    whole = whole_records(physical, broken.frame, opts.sep, scratch, header=False)
+    return lines.join(broken.frame, ["source_file", "block"], "left_anti").select(lines.columns).unionByName(whole.select(lines.columns))
 
 
 def cell_schema(width: int) -> str:
     return ", ".join(f"_c{i} string" for i in range(width))
 
 
-def parse_lines(lines: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
+def parse_lines(lines: DataFrame, opts: CsvOptions, width: int, checked: bool = True) -> DataFrame:
     """Replace ``line`` by its cells ``_c0.._c{width-1}``, missing texts as NULL.
 
     The generator makes cells real columns: a line is parsed once, however often later
@@ -101,103 +129,166 @@ def parse_lines(lines: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
     others = [c for c in lines.columns if c != "line"]
     if len(opts.sep) > 1:
         parts = lines.select(*others, F.explode(F.array(F.split("line", opts.sep))).alias("parts"))
-        cells = [F.ltrim(F.get("parts", F.lit(i))) for i in range(width)]
+        rest = F.exists(F.slice("parts", F.lit(width + 1), F.lit(opts.max_columns)), lambda c: F.trim(c) != "")
+        cells = [F.ltrim(F.get("parts", F.lit(i))).alias(f"_c{i}") for i in range(width)]
+        parts = parts.select(*others, *cells, F.when(rest, F.array_join("parts", " ")).alias(_ODD))
     else:
-        parsed = F.from_csv(
-            F.col("line"),
-            cell_schema(width),
-            {"sep": opts.sep, "escape": '"', "ignoreLeadingWhiteSpace": "true", "maxColumns": str(opts.max_columns)},
-        )
+        parsed = F.from_csv(F.col("line"), f"{cell_schema(width)}, {_ODD} string", {
+            "sep": opts.sep, "escape": '"', "ignoreLeadingWhiteSpace": "true", "maxColumns": str(opts.max_columns),
+            "columnNameOfCorruptRecord": _ODD})
         parts = lines.select(*others, F.inline(F.array(parsed)))
-        cells = [F.col(f"_c{i}") for i in range(width)]
-    return parts.select(*others, *[null_tokens(c).alias(f"_c{i}") for i, c in enumerate(cells)])
+        parts = parts.withColumn(_ODD, _longer(opts, width))
+    parts = _without_long(parts, opts, width) if checked else parts
+    return parts.select(*others, *[null_tokens(F.col(f"_c{i}")).alias(f"_c{i}") for i in range(width)])
 
 
-def scan_cells(spark: SparkSession, path: str, opts: CsvOptions, width: int) -> DataFrame:
-    """All cells below the header line as text columns ``_c0.._c{width-1}``, with positions."""
-    if len(opts.sep) > 1:
-        return parse_lines(scan_lines(spark, path, opts, header=True), opts, width)
-    cells = _reader(spark, opts, header=True).option("sep", opts.sep).schema(cell_schema(width)).csv(path)
-    return cells.select(*[null_tokens(F.col(f"_c{i}")).alias(f"_c{i}") for i in range(width)], *_positions())
+def _longer(opts: CsvOptions, width: int) -> Column:
+    """The odd record if cells of it lie beyond the columns; rows may be short, and end in separators."""
+    told = F.rtrim(F.col(_ODD), F.lit(opts.sep + " \t\r\n"))
+    return F.when(F.col(_ODD).isNotNull() & (field_count(told, opts.sep) > width), F.col(_ODD))
+
+
+def _without_long(cells: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
+    if opts.long_rows == "skip":
+        return cells.where(F.col(_ODD).isNull())
+    where = F.col("source_file") if "source_file" in cells.columns else F.lit("a header")
+    told = F.concat(F.lit(f"a row of more than {width} cells in "), where, F.lit(": "), F.left(F.col(_ODD), F.lit(200)))
+    # a filter is never left out, whichever cells are used later
+    return cells.where(F.when(F.col(_ODD).isNull(), True).otherwise(F.raise_error(told).cast("boolean")))
+
 
+def split_size(spark: SparkSession, files: Files) -> int:
+    """Bytes up to which Spark reads a file in one piece."""
+    to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    most, each = (to_bytes(spark.conf.get(f"spark.sql.files.{n}")) for n in ("maxPartitionBytes", "openCostInBytes"))
+    return min(most, max(each, (files.total + files.n * each) // spark.sparkContext.defaultParallelism))
 
-def first_lines(spark: SparkSession, paths: Sequence[str], opts: CsvOptions) -> DataFrame:
-    """First line, field count and size of every file: ``entry, source_file, line, width, file_size``.
 
-    ``entry`` is the position in ``paths``; an entry may be a file, a folder or a pattern. A
-    single file is read to its first line only, several files in one pass over their lines.
+def scan_cells(spark: SparkSession, files: Files, opts: CsvOptions, width: int, scratch: Scratch) -> DataFrame:
+    """All records below the headers as text columns ``_c0.._c{width-1}``, with positions; one scan for all files.
+
+    Files of one split are read record by record. Larger ones are read in splits, line by line; splits with a
+    quoted line break in them, found in a pass before, are put together from lines instead.
     """
-    parts = []
-    for entry, path in enumerate(paths):
-        lines = scan_lines(spark, path, opts, header=False, size=True)
-        starts = lines.where("block = 0").select(F.lit(entry).alias("entry"), "source_file", "line", "file_size", "row")
-        if len(lines.inputFiles()) == 1:
-            # as an action a limit reads the first task only, inside a plan it would read all
-            parts.append(spark.createDataFrame(starts.head(1), starts.schema).drop("row"))
+    if len(opts.sep) > 1:
+        return parse_lines(scan_lines(spark, files, opts, header=True), opts, width)
+    reader = _reader(spark, opts, header=True).option("sep", opts.sep).option("columnNameOfCorruptRecord", _ODD)
+    reader = reader.schema(f"{cell_schema(width)}, {_ODD} string")
+    limit, size = split_size(spark, files), F.col("_metadata.file_size")
+    parts, broken = [], None
+    if files.smallest <= limit:
+        # the size is known of a file before it is opened, so others are not read
+        parts.append(reader.option("multiLine", True).csv(files.roots).where(size <= limit).select("*", *_positions()))
+    if files.largest > limit:
+        large = reader.option("multiLine", False).csv(files.roots).where(size > limit).select("*", *_positions())
+        if opts.quoted_breaks:
+            lines = scan_physical_lines(spark, files, opts).where(size > limit)
+            broken = Small(broken_splits(lines, opts.sep), scratch, "broken")
+        if broken is not None and (broken.rows is None or broken.rows):
+            large = large.join(broken.frame, ["source_file", "block"], "left_anti")
+            whole = whole_records(lines, broken.frame, opts.sep, scratch, header=True)
         else:
-            parts.append(starts.groupBy("entry", "source_file").agg(
-                F.min_by("line", "row").alias("line"), F.max("file_size").alias("file_size")))
-    frame = union_all(parts)
-    return frame.withColumn("width", field_count(F.col("line"), opts.sep))
+            broken = None
+        parts.append(large)
+    if not parts:
+        parts.append(reader.csv(files.roots).select("*", *_positions()))
+    cells = _without_long(union_all(parts).withColumn(_ODD, _longer(opts, width)), opts, width)
+    cells = cells.select(*[null_tokens(F.col(f"_c{i}")).alias(f"_c{i}") for i in range(width)], "source_file", "block", "row")
+    if broken is not None:
+        cells = cells.unionByName(parse_lines(whole, opts, width))
+    return cells
+
+
+def read_cells(spark: SparkSession, headers: Headers, opts: CsvOptions, scratch: Scratch, least: int = 1) -> DataFrame:
+    """:func:`scan_cells` as wide as the widest header, and ``least`` cells; rows are held against the header of their own file."""
+    width = max(headers.width, least)
+    cells = scan_cells(spark, headers.files, opts, width, scratch)
+    if headers.rows is not None and all(r["width"] == headers.width for r in headers.rows):
+        return cells
+    widths = headers.frame.select("source_file", F.col("width").alias("_width")).distinct()
+    every = F.array(*[F.col(f"_c{i}") for i in range(width)])
+    beyond = F.exists(F.slice(every, F.col("_width") + 1, F.lit(width)), lambda c: c.isNotNull())
+    held = cells.join(widths, "source_file").withColumn(_ODD, F.when(beyond, F.concat_ws(opts.sep, every)))
+    return _without_long(held, opts, width).drop(_ODD, "_width")
+
+
+def first_lines(spark: SparkSession, files: Files, opts: CsvOptions) -> Small:
+    """First record and field count of every file that has one: ``file_no, entry, source_file, line, width``."""
+    names = ["file_no", "entry", "source_file"]
+    line, found = F.col("line"), F.col("lines").isNull().alias("closed")
+    heads = head_lines(files, opts.encoding).select(*names, first_record(F.col("lines"), opts.sep).alias("line"), found)
+    heads = Small(heads.withColumn("width", field_count(line, opts.sep)), files.scratch, "heads")
+    if heads.rows is not None and not any(r["closed"] for r in heads.rows):
+        return heads.where(lambda r: r["line"] is not None, line.isNotNull())
+    # stores that only Spark opens: a pass over the lines, or a look at the first ones of a single file
+    starts = scan_lines(spark, files, opts, header=False).where("block = 0").select("source_file", "line", "row")
+    if files.n == 1:
+        starts = spark.createDataFrame(starts.head(1), starts.schema)
+    starts = starts.groupBy("source_file").agg(F.min_by("line", "row").alias("line"))
+    open_ = F.lit(False) if len(opts.sep) > 1 else ends_inside(line, F.lit(False), opts.sep)
+    told = F.concat(F.lit("a line break in the header of a file that Python cannot open: "), F.col("source_file"))
+    starts = starts.withColumn("line", F.when(open_, F.raise_error(told).cast("string")).otherwise(line))
+    closed = heads.frame.where("closed").select(names).join(starts, "source_file")
+    opened = heads.frame.where("line is not null").select(*names, "line", "width")
+    return Small(opened.unionByName(closed.withColumn("width", field_count(line, opts.sep))), files.scratch, "first_lines")
 
 
 def field_count(line: Column, sep: str) -> Column:
     """Cells of a line: separators outside quotes, plus one."""
-    unquoted = F.regexp_replace(line, '"([^"]|"")*"', "")
+    unquoted = F.regexp_replace(line, '"[^"]*"', "")
     return (F.regexp_count(unquoted, F.lit(sep if len(sep) > 1 else rf"\Q{sep}\E")) + 1).cast("int")
 
 
 class RowOrder:
-    """Order of rows in their files as one whole number, where it fits one.
+    """Order of rows in their files as one whole number.
 
     A number keeps "last wins" aggregates hash-based; a struct would make them sort. Splits of a
     file start at multiples of at least the smaller of the two split settings, so that unit
-    tells them apart; the low 33 bits of a row id count the rows of a task.
+    tells them apart; the low 33 bits of a row id count the rows of a task. Where 62 bits are too few the number is
+    a decimal, which these aggregates hold as well.
     """
 
     ROW_BITS = 33
 
-    def __init__(self, spark: SparkSession, files: list[dict] | None):
+    def __init__(self, spark: SparkSession, files: Files):
         names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
         to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
         self.unit = max(1, min(to_bytes(spark.conf.get(n)) for n in names))
-        entries = None if files is None else [f["entry"] for f in files]
-        # with one file per entry the entry stands for the file
-        self.one_file_each = entries is not None and len(set(entries)) == len(entries)
-        self.blocks = 1 + (2**62 if files is None else max((f["file_size"] for f in files), default=0) // self.unit)
-
-    def of(self, entry: int | None, n_entries: int, before: Column | None = None, n_before: int = 1) -> Column:
-        """Order by ``before`` (less than ``n_before``), then file, then row.
+        self.files = files.n
+        self.blocks = 1 + files.largest // self.unit
 
-        ``entry`` is None when rows of different files are never compared.
-        """
+    def of(self, merged: bool, before: Column | None = None, n_before: int = 1) -> Column:
+        """Order by ``before`` (less than ``n_before``), then, if files are ``merged``, ``file_no``, then row."""
         parts = [(before, n_before)] if before is not None else []
-        if entry is not None:
-            parts.append((F.lit(entry), n_entries))
+        if merged:
+            parts.append((F.col("file_no"), self.files))
         parts.append((F.floor(F.col("block") / self.unit), self.blocks))
-        bits = sum((n - 1).bit_length() for _, n in parts) + self.ROW_BITS
-        if bits > 62 or (entry is not None and not self.one_file_each):
-            fields = [before.alias("before")] if before is not None else []
-            return F.struct(*fields, F.lit(entry or 0).alias("entry"), "source_file", "block", "row")
+        bits = sum((n - 1).bit_length() for _, n in parts)
         order = F.lit(0).cast("bigint")
         for part, n in parts:
             order = F.shiftleft(order, (n - 1).bit_length()) + part.cast("bigint")
         row = F.col("row").bitwiseAND(F.lit(2**self.ROW_BITS - 1))
-        return F.shiftleft(order, self.ROW_BITS) + row
+        if bits + self.ROW_BITS <= 62:
+            return F.shiftleft(order, self.ROW_BITS) + row
+        if bits > 62:
+            raise ValueError(f"{self.files} files with {n_before} columns and {self.blocks} splits cannot be put in order")
+        return order.cast("decimal(20,0)") * F.lit(2**self.ROW_BITS).cast("decimal(12,0)") + row.cast("decimal(12,0)")
 
 
 @dataclass(frozen=True)
 class Headers:
-    """Header cells of every file: ``entry, source_file, width, names``."""
+    """Header cells of every file: ``file_no, entry, source_file, width, names``."""
 
+    files: Files
     frame: DataFrame
     rows: list[dict] | None
     width: int
     order: RowOrder
 
 
-def read_headers(spark: SparkSession, paths: Sequence[str], opts: CsvOptions, scratch: Scratch) -> Headers:
-    lines = Small(first_lines(spark, paths, opts), scratch, "first_lines")
+def read_headers(spark: SparkSession, paths: Sequence[str], opts: CsvOptions, scratch: Scratch, skip_missing: bool = False) -> Headers:
+    files = list_files(spark, paths, scratch, skip_missing)
+    lines = first_lines(spark, files, opts)
     if lines.rows is not None:
         width = max((r["width"] for r in lines.rows), default=None)
     else:
@@ -206,10 +297,10 @@ def read_headers(spark: SparkSession, paths: Sequence[str], opts: CsvOptions, sc
         raise NoData("no data found: the input files are empty")
     cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
     unmarked = lines.frame.withColumn("line", F.regexp_replace("line", "^\ufeff", ""))
-    names = parse_lines(unmarked, opts, width).select(
-        "entry", "source_file", "width", F.slice(cells, F.lit(1), F.col("width")).alias("names"))
+    names = parse_lines(unmarked, opts, width, checked=False).select(
+        "file_no", "entry", "source_file", "width", F.slice(cells, F.lit(1), F.col("width")).alias("names"))
     small = Small(names, scratch, "headers")
-    return Headers(small.frame, small.rows, width, RowOrder(spark, lines.rows))
+    return Headers(files, small.frame, small.rows, width, RowOrder(spark, files))
 
 
 def header_cells(headers: DataFrame) -> DataFrame:
@@ -243,7 +334,7 @@ def _no_repeats(names: list[str | None]) -> bool:
 def value_columns(headers: DataFrame, per_file: bool, by_name: bool) -> DataFrame:
     """Which columns hold which instrument, one row per file.
 
-    Takes ``entry, source_file, pos, raw, instrument`` rows and gives ``entry, source_file, cols``
+    Takes ``file_no, source_file, pos, raw, instrument`` rows and gives ``file_no, source_file, cols``
     with ``cols`` an array of (pos, instrument, series). ``series`` is the order in which columns
     reach an instrument: the position in the file itself, or, when files are merged, in the
     merged header. There a name seen before keeps its place if ``by_name``, and every column is
@@ -252,13 +343,13 @@ def value_columns(headers: DataFrame, per_file: bool, by_name: bool) -> DataFram
     if per_file:
         ranked = headers.withColumn("series", F.col("pos"))
     else:
-        place = F.struct("entry", "source_file", "pos")
+        place = F.struct("file_no", "pos")
         key = F.col("raw") if by_name else place
         firsts = headers.groupBy(key.alias("place_key")).agg(F.min(place).alias("place"))
         # one row per column name of the headers, never per reading
         firsts = firsts.select("place_key", F.row_number().over(Window.orderBy("place")).alias("series"))
         ranked = headers.withColumn("place_key", key).join(firsts, "place_key")
-    return ranked.groupBy("entry", "source_file").agg(
+    return ranked.groupBy("file_no", "source_file").agg(
         F.sort_array(F.collect_list(F.struct("pos", "instrument", "series"))).alias("cols")
     )
 
@@ -270,9 +361,8 @@ def series_count(cols: Small) -> int:
     return 1 + cols.frame.select(F.max(F.array_max("cols.series"))).first()[0]
 
 
-def one_layout(cols: Small, entry: int) -> list[dict] | None:
-    """Columns of an entry whose files all share them; None when they differ (or are not known)."""
-    if cols.rows is None:
+def one_layout(cols: Small) -> list[dict] | None:
+    """Columns of the files if they all share them; None when they differ (or are not known)."""
+    if not cols.rows or any(r["cols"] != cols.rows[0]["cols"] for r in cols.rows):
         return None
-    kinds = [r["cols"] for r in cols.rows if r["entry"] == entry]
-    return kinds[0] if kinds and all(k == kinds[0] for k in kinds) else None
+    return cols.rows[0]["cols"]

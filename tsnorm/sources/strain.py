@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tsnorm.functions.names import sanitize_name, unit_label
 from tsnorm.functions.times import elapsed_to_ts, elapsed_unit_us, infer_ts, round_ms
-from tsnorm.operators.merge import union_all
 from tsnorm.session import Scratch, Small
+from tsnorm.sources.files import list_files
 from tsnorm.sources.normalized import explode_values, value_array
 from tsnorm.sources.scan import (
     CsvOptions,
@@ -23,9 +23,8 @@ from tsnorm.sources.scan import (
     Readings,
     RowOrder,
     field_count,
-    first_lines,
     parse_lines,
-    scan_lines,
+    scan_records,
     series_count,
     value_columns,
 )
@@ -100,65 +99,56 @@ def read_preambles(lines: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
 def read_strain(
     spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch
 ) -> Readings:
-    files = Small(first_lines(spark, paths, opts), scratch, "first_lines")
-    order = RowOrder(spark, files.rows)
+    files = list_files(spark, paths, scratch, per_file)
+    order = RowOrder(spark, files)
     # written once with the rows' positions: those of a further scan could be others
-    every = union_all([
-        scan_lines(spark, path, opts, header=False).withColumn("entry", F.lit(entry)) for entry, path in enumerate(paths)
-    ])
-    every = scratch.table(every, "lines")
+    every = scratch.table(scan_records(spark, files, opts, scratch), "lines")
     # names and labels give the width; the first line is junk that may be narrower than the data
     width = every.where(labelled()).agg(F.max(field_count(F.col("line"), opts.sep))).first()[0]
     if width is None or width < 3:
         raise NoData("no data found: a strain file has at least 3 columns")
     keys = ("source_file",) if per_file else ()
-    scans = [every.where(F.col("entry") == entry).drop("entry") for entry in range(len(paths))]
-
-    heads = union_all([
-        read_preambles(lines, opts, width).withColumn("entry", F.lit(entry)) for entry, lines in enumerate(scans)
-    ])
+    heads = read_preambles(every, opts, width).join(files.frame.select("file_no", "entry", "source_file"), "source_file")
     heads = Small(heads, scratch, "preambles").frame
     whole = F.lit(True)
     for column in PROBLEMS:
         whole = whole & F.col(column).isNotNull()
     if not per_file:
-        for bad in heads.where(~whole).limit(1).collect():
-            missing = next(text for column, text in PROBLEMS.items() if bad[column] is None)
-            raise NoData(f"{bad.source_file}: {missing}")
+        unfit = heads.where(~whole)
+        told = [
+            f"{bad.source_file}: {next(text for column, text in PROBLEMS.items() if bad[column] is None)}"
+            for bad in unfit.orderBy("file_no").limit(20).collect()]
+        if told:
+            raise NoData(f"{unfit.count()} files without a whole preamble: {'; '.join(told)}")
     heads = heads.where(whole)
 
-    cells = heads.select("entry", "source_file", "id_col", F.posexplode("tags").alias("pos", "tag"), "units").where(
+    cells = heads.select("file_no", "entry", "source_file", "id_col", F.posexplode("tags").alias("pos", "tag"), "units").where(
         "pos >= id_col + 2 and tag is not null"
-    ).select("entry", "source_file", "pos", unit_label(F.col("tag"), F.get("units", F.col("pos"))).alias("raw"))
+    ).select("file_no", "entry", "source_file", "pos", unit_label(F.col("tag"), F.get("units", F.col("pos"))).alias("raw"))
     if not per_file:
-        repeated = cells.where("entry > 0").groupBy("source_file", "raw").count().where("count > 1").limit(1).collect()
-        if repeated:
-            raise DuplicateColumns(f"{repeated[0].source_file}: tag {repeated[0].raw!r} occurs twice")
+        repeated = cells.where("entry > 0").groupBy("file_no", "source_file", "raw").count().where("count > 1")
+        told = [f"{r.source_file}: tag {r.raw!r} occurs {r['count']} times" for r in repeated.orderBy("file_no", "raw").limit(20).collect()]
+        if told:
+            raise DuplicateColumns(f"{repeated.count()} repeated tags, the first of them: {'; '.join(told)}")
     cells = cells.withColumn("instrument", sanitize_name(F.col("raw")))
     cols = Small(value_columns(cells, per_file, by_name=True), scratch, "columns")
-    heads = Small(heads.select("entry", "source_file", "id_col", "id_block", "id_row", "start_us", "unit_us"), scratch, "heads")
-
-    parts = []
-    for entry, lines in enumerate(scans):
-        rows = lines.join(heads.frame.where(F.col("entry") == entry).drop("entry"), "source_file")
-        rows = rows.where("block > id_block or (block = id_block and row > id_row)").drop("id_block", "id_row")
-        rows = parse_lines(rows, opts, width)
-        known = None if heads.rows is None else {h["id_col"] for h in heads.rows if h["entry"] == entry}
-        if known is not None and len(known) == 1:
-            elapsed = F.col(f"_c{known.pop() + 1}")
-        else:
-            cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
-            rows = rows.withColumn("cells", F.explode(F.array(cells)))
-            elapsed = F.get("cells", F.col("id_col") + 1)
-        ts = elapsed_to_ts(F.timestamp_micros("start_us"), elapsed, F.col("unit_us"))
-        rows = rows.select(
-            "source_file", "block", "row", round_ms(ts).alias("ts"), value_array(cols, entry, width).alias("vals")
-        ).where("ts is not null")
-        long = explode_values(rows, cols, entry, ["source_file", "block", "row", "ts"])
-        parts.append(long.select(
-            *keys, "instrument", "ts", "value", "series",
-            order.of(None if per_file else entry, len(paths), F.col("series"), series_count(cols)).alias("ord"),
-        ))
-    out = union_all(parts)
+    heads = Small(heads.select("file_no", "source_file", "id_col", "id_block", "id_row", "start_us", "unit_us"), scratch, "heads")
+
+    rows = every.join(heads.frame, "source_file")
+    rows = rows.where("block > id_block or (block = id_block and row > id_row)").drop("id_block", "id_row")
+    rows = parse_lines(rows, opts, width)
+    known = None if heads.rows is None else {h["id_col"] for h in heads.rows}
+    if known is not None and len(known) == 1:
+        elapsed = F.col(f"_c{known.pop() + 1}")
+    else:
+        cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
+        rows = rows.withColumn("cells", F.explode(F.array(cells)))
+        elapsed = F.get("cells", F.col("id_col") + 1)
+    ts = elapsed_to_ts(F.timestamp_micros("start_us"), elapsed, F.col("unit_us"))
+    ids = ["file_no", "source_file", "block", "row", "ts"]
+    rows = rows.select(*ids[:-1], round_ms(ts).alias("ts"), value_array(cols, width).alias("vals")).where("ts is not null")
+    out = explode_values(rows, cols, ids).select(
+        *keys, "instrument", "ts", "value", "series",
+        order.of(not per_file, F.col("series"), series_count(cols)).alias("ord"))
     # a column without any value is no instrument here, so the data decides
     return Readings(out, keys, out.select(*keys, "instrument").distinct(), False, from_data=True)

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from tsnorm.functions.names import sanitize_name, trend_name
 from tsnorm.functions.times import DEFAULT_FORMATS, parse_ts, round_ms
 from tsnorm.functions.values import lenient_double
-from tsnorm.operators.merge import union_all
 from tsnorm.session import Scratch, Small
-from tsnorm.sources.scan import CsvOptions, NoData, Readings, one_layout, read_headers, scan_cells, series_count, value_columns
+from tsnorm.sources.scan import CsvOptions, NoData, Readings, one_layout, read_cells, read_headers, series_count, value_columns
 
 
 def trend_unpivot(
@@ -30,8 +29,8 @@ def trend_unpivot(
 def read_trend(
     spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch
 ) -> Readings:
-    headers = read_headers(spark, paths, opts, scratch)
-    pairs = headers.frame.select("entry", "source_file", "width", F.posexplode("names").alias("pos", "raw")).where(
+    headers = read_headers(spark, paths, opts, scratch, per_file)
+    pairs = headers.frame.select("file_no", "source_file", "width", F.posexplode("names").alias("pos", "raw")).where(
         "raw is not null and pos % 2 = 0 and pos + 1 < width"
     )
     pairs = pairs.withColumn("instrument", sanitize_name(trend_name(F.col("raw")))).drop("width")
@@ -43,32 +42,29 @@ def read_trend(
     keys = ("source_file",) if per_file else ()
     ids = ["source_file", "block", "row"]
     n_series = series_count(cols)
-    parts = []
-    for entry, path in enumerate(paths):
-        cells = scan_cells(spark, path, opts, headers.width)
-        shared = one_layout(cols, entry)
-        if shared is not None:
-            long = trend_unpivot(
-                cells, ids, [(c["instrument"], f"_c{c['pos']}", f"_c{c['pos'] + 1}") for c in shared]
-            ).withColumn("series", F.get(F.array(*[F.lit(c["series"]) for c in shared]), F.col("series")))
-        else:
-            named = cells.join(cols.frame.where(F.col("entry") == entry).select("source_file", "cols"), "source_file")
-            row = F.array(*[F.col(f"_c{i}") for i in range(headers.width)])
-            picked = F.transform("cols", lambda c: F.struct(
-                c["series"].alias("series"), c["instrument"].alias("instrument"),
-                F.get(F.col("cells"), c["pos"]).alias("ts"), F.get(F.col("cells"), c["pos"] + 1).alias("value")))
-            long = named.withColumn("cells", row).select(*ids, F.explode(picked).alias("cell")).select(
-                *ids, "cell.*").where("ts is not null")
-        # parsed below the explode: one expression, not one per pair
-        long = long.select(
-            *keys, "instrument",
-            round_ms(parse_ts(F.col("ts"), fmt), F.col("ts")).alias("ts"),
-            lenient_double(F.col("value")).alias("value"),
-            "series",
-            # a series is one pair of one file, so the place in the file decides within it
-            headers.order.of(None, 1, F.col("series"), n_series).alias("ord"),
-        )
-        parts.append(long.where("ts is not null and value is not null"))
-    out = union_all(parts)
+    cells = read_cells(spark, headers, opts, scratch)
+    shared = one_layout(cols)
+    if shared is not None:
+        long = trend_unpivot(
+            cells, ids, [(c["instrument"], f"_c{c['pos']}", f"_c{c['pos'] + 1}") for c in shared]
+        ).withColumn("series", F.get(F.array(*[F.lit(c["series"]) for c in shared]), F.col("series")))
+    else:
+        named = cells.join(cols.frame.select("source_file", "cols"), "source_file")
+        row = F.array(*[F.col(f"_c{i}") for i in range(headers.width)])
+        picked = F.transform("cols", lambda c: F.struct(
+            c["series"].alias("series"), c["instrument"].alias("instrument"),
+            F.get(F.col("cells"), c["pos"]).alias("ts"), F.get(F.col("cells"), c["pos"] + 1).alias("value")))
+        long = named.withColumn("cells", row).select(*ids, F.explode(picked).alias("cell")).select(
+            *ids, "cell.*").where("ts is not null")
+    # parsed below the explode: one expression, not one per pair
+    long = long.select(
+        *keys, "instrument",
+        round_ms(parse_ts(F.col("ts"), fmt), F.col("ts")).alias("ts"),
+        lenient_double(F.col("value")).alias("value"),
+        "series",
+        # a series is one pair of one file, so the place in the file decides within it
+        headers.order.of(False, F.col("series"), n_series).alias("ord"),
+    )
+    out = long.where("ts is not null and value is not null")
     instruments = cols.frame.select(*keys, F.explode("cols.instrument").alias("instrument")).distinct()
     return Readings(out, keys, instruments, False)
