@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -47,7 +48,10 @@ def test_pieces_give_the_ids_of_whole_texts(reference):
     rng, pieces = random.Random(3), tokens.Pieces(PATH)
     marks = [" ", "\n", "  ", "a", "é", "ß.", ",", "'s", "1", "\t", "\r\n", "Word", "\x00", "\x1c", "\x85", "漢", "!?", "<|endoftext|>", "\n\n", "ʰ"]
     texts = ["".join(rng.choice(marks) for _ in range(rng.randint(0, 9))) for _ in range(5000)] + [t for _, t in ODD if t]
-    assert pieces.encode(texts) == [np.array(reference(t), np.uint32).tobytes() for t in texts]
+    marks += ["\xa0", "\u2003", "\u3000", " x", "Ä", "×", "ɐ", "_", "\u0300", "😀", "Ω"]
+    texts += ["".join(rng.choice(marks) for _ in range(rng.randint(0, 40))) for _ in range(2000)] + [None, " it's", prose(4, 20_000)]
+    ids, bounds = pieces.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [reference(t) for t in texts]
 
 
 def test_packing_places_every_id_once(spark, reference):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsnorm.llm import common
-from tsnorm.llm.tokens import encode_column, forget, loaded
+from tsnorm.llm.tokens import encode_column, gathered, loaded
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, `offset` long"
 STAGED = "doc_id long, ids binary, doc_tokens long, part int, before long"
@@ -25,19 +25,13 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         kind = id_type(tokenizer, end)
-        for batch in batches:
-            ids_of, at = batch.column(0), 0
-            for ids in encode_column(tokenizer, batch.column(1), end):
-                counts = np.array([len(x) // 4 for x in ids], np.int64)
-                starts = before + np.concatenate(([0], np.cumsum(counts)[:-1]))
-                yield pa.RecordBatch.from_arrays([
-                    ids_of.slice(at, len(ids)),
-                    pa.array([np.frombuffer(x, np.uint32).astype(kind).tobytes() for x in ids], pa.binary()),
-                    pa.array(counts), pa.array(np.full(len(ids), part, np.int32)), pa.array(starts),
-                ], ["doc_id", "ids", "doc_tokens", "part", "before"])
-                at += len(ids)
-                before += int(counts.sum())
-        forget(tokenizer)
+        for batch in gathered(batches, 1):
+            ids, bounds = encode_column(tokenizer, batch.column(1), end)
+            counts = np.diff(bounds)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), common.binary(ids.astype(kind), bounds), pa.array(counts), pa.array(np.full(len(batch), part, np.int32)),
+                pa.array(before + bounds[:-1])], ["doc_id", "ids", "doc_tokens", "part", "before"])
+            before += int(bounds[-1])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return common.stage(slim.mapInArrow(encode, STAGED), "token_ids")

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsnorm.llm import common
-from tsnorm.llm.tokens import encode_column, forget
+from tsnorm.llm.packing import id_type
+from tsnorm.llm.tokens import encode_column, gathered
 
 FILE = "part int, doc_id long, before long, n_tokens long, ids array<int>"
 OPTIONS = {
@@ -28,35 +29,40 @@ OPTIONS = {
 def write(docs: DataFrame, path: str, tokenizer: str, end: int, options: dict[str, str] | None = None) -> None:
     """Encode whole texts and write them in ascending order of doc_id.
 
-    Documents are dealt by ranges of doc_id and sorted within a task; each task writes one file.
-    A file holds, for every document, its range (part), doc_id, the ids of this file before it,
-    their number with the end id, and the ids; ORC codes the integers in runs, keeps an index for
+    Texts are encoded where they lie; what is dealt by ranges of doc_id and sorted within a task are ids, of two or four bytes each
+    by the vocabulary. Each task writes one file. A file holds, for every document, its range (part), doc_id, the ids of this file
+    before it, their number with the end id, and the ids; ORC codes the integers in runs, keeps an index for
     every 1,000 rows and Bloom filters on doc_id, and stripes are read in parallel. Null texts are
-    empty. Rows with one doc_id stand together in the order of their text; null doc_ids come first.
+    empty. Rows with one doc_id stand together, those of fewer ids first; null doc_ids come first. A
+    number of the row is the last key of the range, so however often a row is repeated, its copies are dealt to several tasks.
     """
 
     @common.tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before = TaskContext.get().partitionId(), 0
+        kind = id_type(tokenizer, end)
+        for batch in gathered(batches, 1):
+            ids, bounds = encode_column(tokenizer, batch.column(1), end)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.diff(bounds)), common.binary(ids.astype(kind), bounds)], ["doc_id", "n_tokens", "ids"])
+
+    @common.tidy
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before, kind = TaskContext.get().partitionId(), 0, id_type(tokenizer, end)
         for batch in batches:
-            at = 0
-            for ids in encode_column(tokenizer, batch.column(1), end):
-                counts = np.array([len(x) // 4 for x in ids], np.int64)
-                bounds = np.concatenate(([0], np.cumsum(counts)))
-                flat = np.frombuffer(b"".join(ids), np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(ids), part, np.int32)), batch.column(0).slice(at, len(ids)),
-                    pa.array(before + bounds[:-1]), pa.array(counts),
-                    pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat)),
-                ], ["part", "doc_id", "before", "n_tokens", "ids"])
-                at += len(ids)
-                before += int(counts.sum())
-        forget(tokenizer)
-
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ordered = slim.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.length("text"), F.xxhash64("text"))
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.length("text"), F.xxhash64("text"))
-    ordered.mapInArrow(encode, FILE).write.options(**OPTIONS | (options or {})).orc(path)
+            column = batch.column("ids").cast(pa.large_binary())
+            bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+            ids = np.frombuffer(column.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]].view(kind).astype(np.int32)
+            bounds = (bounds - bounds[0]) // np.dtype(kind).itemsize
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(batch), part, np.int32)), batch.column("doc_id"), pa.array(before + bounds[:-1]), batch.column("n_tokens"),
+                pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))], ["part", "doc_id", "before", "n_tokens", "ids"])
+            before += int(bounds[-1])
+
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = common.stage(slim.mapInArrow(encode, "doc_id long, n_tokens long, ids binary"), "token_ids")
+    keys = [F.col("doc_id").asc_nulls_first(), "n_tokens", F.xxhash64("ids"), "row"]
+    ordered = rows.withColumn("row", common.row_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered.select("doc_id", "n_tokens", "ids").mapInArrow(lists, FILE).write.options(**OPTIONS | (options or {})).orc(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
