@@ -211,8 +211,8 @@ def test_no_repeated_passage_is_missed(spark):
 def test_unique_text_of_repeated_pieces_stays(spark):
     """Documents put together of short pieces, cut by content, that all stand in earlier ones, but never in this order."""
     def ends_a_chunk(piece):
-        data = np.frombuffer(f"{piece} x".encode(), np.uint8)
-        return len(data) - 1 in substring_dedup.chunks(data, np.array([0, len(data)]), 6)[0]
+        words = piece.split(" ")
+        return len(words) in words_of(" ".join(words + ["x"] * 5)).cuts(6)
     pieces = [p for p in (prose(60000 + i, 3 + i % 5) for i in range(900)) if ends_a_chunk(p)][:60]
     rows = [(i, f"{prose(800 + i, 12)} {pieces[0]} {p} {prose(900 + i, 12)}") for i, p in enumerate(pieces)]
     rng = random.Random(4)
@@ -222,13 +222,49 @@ def test_unique_text_of_repeated_pieces_stays(spark):
     assert not any(r["removed_words"] for doc, r in got.items() if doc < 200) and got[200]["text"] == ""
 
 
+def words_of(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return substring_dedup.Words.of(data, np.array([0, len(data)]))
+
+
 def test_gear_chunks_resist_shifts():
     text = prose(9, 400)
     def cut(s):
-        data = np.frombuffer(s.encode(), np.uint8)
-        begins, ends, _, _ = substring_dedup.chunks(data, np.array([0, len(data)]), 6)
-        return [data[a:b].tobytes() for a, b in zip(begins, ends, strict=True)]
-    assert len(set(cut("new words first " + text)) & set(cut(text))) >= len(cut(text)) - 4
+        words = s.split(" ")
+        return [tuple(words[a:b]) for a, b in zip(*words_of(s).chunks(6), strict=True)]
+    assert len(set(cut("new words first " + text)) & set(cut(text))) >= len(cut(text)) - 4 > 80
+    assert all(6 <= len(c) <= 11 for c in cut(text))
+
+
+def test_every_run_holds_a_chunk_of_its_own():
+    """Wherever a run of words stands, one chunk in it is the same; texts of few distinct words among them."""
+    rng = random.Random(12)
+    for n in (8, 20, 33):
+        window = substring_dedup.chunk_window(n)
+        for k in range(300):
+            some = prose(k, 1 + k % 7).split(" ") if k % 2 else prose(k, 200).split(" ")
+            run = [rng.choice(some) for _ in range(n)]
+            found = []
+            for side in range(2):
+                before, after = (prose(1000 * side + 7 * k + j, 1 + k % 11).split(" ") for j in (1, 2))
+                text = before + run + after
+                begins, ends = words_of(" ".join(text)).chunks(window)
+                found.append({tuple(text[a:b]) for a, b in zip(begins, ends, strict=True) if len(before) <= a and b <= len(before) + n})
+            assert found[0] & found[1], (n, k)
+
+
+def test_copies_of_a_text_are_one_passage(spark):
+    text, short = " \n" + prose(5, 300) + "\n ", prose(6, 19)
+    rows = [(i, text) for i in range(40)] + [(50 + i, short) for i in range(5)] + [(7, text), (None, text)]
+    got = substring_dedup.dedup_substrings(documents(spark, rows).repartition(6)).collect()
+    for r in got:
+        if r.text is not None and r.doc_id is not None and r.doc_id >= 50:
+            assert r.text == short
+        elif r.doc_id == 0:
+            assert r.text == text
+        else:
+            assert r.text.strip() == "" and r.removed_words == 300
+    assert len(got) == len(rows)
 
 
 def plain_words(text):

@@ -173,14 +173,14 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words, A-Z as a-z; equal in all batches."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, spelled: np.ndarray = LOWER) -> np.ndarray:
+    """64-bit hashes of the words, A-Z as a-z unless other bytes are given for them; equal in all batches."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
     lengths = ends - starts
     first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    chars = LOWER[data[place + np.repeat(starts, lengths)]].astype(np.uint64)
+    chars = spelled[data[place + np.repeat(starts, lengths)]].astype(np.uint64)
     chars += np.uint64(1)
     chars *= _powers(int(lengths.max()))[place]
     return mix(np.add.reduceat(chars, first))
