@@ -1,5 +1,5 @@
 """Whole runs: readings in, aligned tables out."""
 
-from tsnorm.plans.normalize import Aligned, normalize, normalize_files
+from tsnorm.plans.normalize import Aligned, Report, normalize, normalize_files
 
-__all__ = ["Aligned", "normalize", "normalize_files"]
+__all__ = ["Aligned", "Report", "normalize", "normalize_files"]

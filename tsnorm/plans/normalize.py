@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tsnorm.functions.times import end_bound, parse_period, start_bound
@@ -15,11 +16,12 @@ from tsnorm.operators.fill import carried_rows, fill_chunks, fill_zero
 from tsnorm.operators.filters import time_range
 from tsnorm.operators.grid import CHUNK_POINTS, GRID_COLUMNS, Grid, GridTooLarge, grid_bounds
 from tsnorm.operators.period import common_period
+from tsnorm.operators.quality import duplicate_names, shared_names
 from tsnorm.operators.resample import label_us, parse_stats, resample_with_bounds, series_bounds, series_modes
 from tsnorm.operators.reshape import wide_columns, wide_pivot
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.read import read
-from tsnorm.sources.scan import CsvOptions, NoData, Readings
+from tsnorm.sources.scan import CsvOptions, NoData, Readings, Source
 
 # Cells (grid times x instruments) one task should produce.
 TASK_CELLS = 1_000_000
@@ -27,6 +29,23 @@ TASK_CELLS = 1_000_000
 WIDE_CHUNK_CELLS = 1_000_000
 
 
+@dataclass(frozen=True)
+class Report:
+    """What a run met in its files.
+
+    ``rows``: how many rows were read (``n_rows``; cells with a time in the trend layout), time cells that are no time
+    (``bad_times``), value cells that are no number (``bad_values``), and readings ``kept`` after filters and removal of
+    duplicates. ``missing`` paths do not exist; ``left_out`` files have no usable header. ``repeated_names`` are names a file has
+    more than once (``source_file, name, n``), ``shared_names`` those several files have (``name, n_files``).
+    """
+
+    rows: dict[str, int]
+    missing: list[str]
+    left_out: DataFrame
+    repeated_names: DataFrame
+    shared_names: DataFrame
+
+
 @dataclass
 class Aligned:
     """An aligned data set, or one per source file.
@@ -44,6 +63,13 @@ class Aligned:
     keys: tuple[str, ...]
     cells: int
     scratch: Scratch
+    source: Source | None = None
+    kept: Observation | None = None
+
+    @property
+    def time_format(self) -> str | None:
+        """How times are written in the source; None if it is no file."""
+        return None if self.source is None else self.source.time_format
 
     @property
     def tasks(self) -> int:
@@ -76,6 +102,52 @@ class Aligned:
         rows = fill_chunks(rows.repartitionById(self.tasks, "part"), self.stats, ("part",), self.grid, chunk)
         return wide_pivot(rows, columns, clustered=["part", "chunk"])
 
+    def wide_files(self) -> Iterator[DataFrame]:
+        """Wide tables of a batch, ``source_file, timestamp, value_<instrument>...``: one for each set of columns, with
+        all files that have it.
+
+        Chunks of all its files are numbered through, so a table's partitions are in the order of file and time, of equal
+        size however long or short the files are, and nothing is shuffled after the gaps are filled.
+        """
+        if not self.keys:
+            raise ValueError("one data set has one wide table; use wide()")
+        column = F.struct("instrument", F.coalesce(~F.col("down"), F.lit(False)).alias("single"))
+        signed = self.instruments.groupBy(*self.keys).agg(
+            F.sort_array(F.collect_list(column)).alias("columns"), F.first("points").alias("points"))
+        signed = self.scratch.table(signed.withColumn("kind", F.sha2(F.to_json("columns"), 256)), f"kinds-{uuid.uuid4().hex}")
+        # columns are part of a plan, so there is a plan for each set of them
+        kinds = signed.groupBy("kind").agg(F.first("columns").alias("columns")).orderBy("kind").collect()
+        for kind in kinds:
+            named = [c["instrument"] for c in kind.columns]
+            columns = wide_columns(named, self.stats, {c["instrument"] for c in kind.columns if c["single"]})
+            chunk = max(1, min(CHUNK_POINTS, WIDE_CHUNK_CELLS // len(named)))
+            files = signed.where(F.col("kind") == kind.kind).select(*self.keys, F.ceil(F.col("points") / chunk).alias("chunks"))
+            # one row a file
+            before = F.sum("chunks").over(Window.orderBy(*self.keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("chunks")
+            files = files.withColumn("before", before)
+            total = files.agg(F.sum("chunks")).first()[0]
+            if not total:
+                continue
+            tasks = max(1, min(total, total * chunk * len(named) // TASK_CELLS, 2**31 - 1))
+            keyed = list(self.keys)
+            of_kind = files.select(*keyed)
+            rows = carried_rows(
+                self.sampled.join(of_kind, keyed, "left_semi"), self.instruments.join(of_kind, keyed, "left_semi"), self.stats, self.keys, None, chunk)
+            rows = rows.join(files.select(*keyed, "before"), keyed)
+            rows = rows.withColumn("part", F.floor((F.col("before") + F.col("chunk")) * tasks / F.lit(total)).cast("int")).drop("before")
+            rows = fill_chunks(rows.repartitionById(tasks, "part"), self.stats, ("part", *self.keys), None, chunk)
+            yield wide_pivot(rows, columns, (*self.keys, "timestamp"), clustered=["part", "chunk"])
+
+    def report(self) -> Report:
+        """What the run met in its files. Rows were counted while they were read, so this is no further pass."""
+        if self.source is None or self.kept is None:
+            raise ValueError("ask for a report when the run is made: normalize_files(..., report=True)")
+        rows = dict(self.source.parsed.get) | dict(self.kept.get)
+        files, names = self.source.files, self.source.names
+        used = self.instruments.select("source_file").distinct() if self.keys else names.select("source_file").distinct()
+        left_out = files.frame.select("source_file").distinct().join(used, "source_file", "left_anti")
+        return Report(rows, files.missing, left_out, duplicate_names(names), shared_names(names))
+
     def close(self) -> None:
         """Remove the intermediate tables; the tables above cannot be read after it."""
         self.scratch.close()
@@ -92,6 +164,7 @@ def normalize(
     gap: str = "carry",
     max_cells: int | None = None,
     scratch: Scratch | None = None,
+    kept: Observation | None = None,
 ) -> Aligned:
     """Align readings on one regular grid.
 
@@ -112,6 +185,8 @@ def normalize(
     # time is a grouping key of the de-duplication: these bounds are pushed below it
     rows = time_range(readings.frame, start_us, end_us)
     rows = append_series(rows, keys, query, readings.unique)
+    if kept is not None:
+        rows = rows.observe(kept, F.count(F.lit(1)).alias("kept"))
     if period_us is not None:
         rows = rows.withColumn("period_us", F.lit(period_us).cast("bigint"))
     else:
@@ -160,7 +235,7 @@ def normalize(
         raise GridTooLarge(f"{total} grid cells; choose a longer period or a shorter range, or raise max_cells")
 
     sampled = _labelled(sampled, modes if mixed else None, keys, grid, chosen, gap)
-    return Aligned(sampled, seeds, listed, grid, chosen, keys, total, scratch)
+    return Aligned(sampled, seeds, listed, grid, chosen, keys, total, scratch, readings.source, kept)
 
 
 def _labelled(
@@ -203,14 +278,22 @@ def normalize_files(
     encoding: str = "utf_8",
     time_format: str | None = None,
     per_file: bool = False,
+    report: bool = False,
+    long_rows: str = "raise",
+    quoted_breaks: bool = True,
     **options,
 ) -> Aligned:
-    """:func:`normalize` on files of one layout, merged or, with ``per_file``, each on its own."""
+    """:func:`normalize` on files of one layout, merged or, with ``per_file``, each on its own.
+
+    With ``report`` rows are counted as they are read, for :meth:`Aligned.report`; ``long_rows`` and ``quoted_breaks`` are those of
+    :class:`CsvOptions`.
+    """
     scratch = Scratch(spark)
-    opts = CsvOptions(sep=sep, encoding=encoding, time_format=time_format)
+    opts = CsvOptions(sep=sep, encoding=encoding, time_format=time_format, long_rows=long_rows, quoted_breaks=quoted_breaks)
     try:
-        readings = read(spark, layout, paths, opts, per_file=per_file, scratch=scratch)
-        return normalize(readings, scratch=scratch, **options)
+        parsed, kept = (Observation(), Observation()) if report else (None, None)
+        readings = read(spark, layout, paths, opts, per_file=per_file, scratch=scratch, parsed=parsed)
+        return normalize(readings, scratch=scratch, kept=kept, **options)
     except BaseException:
         scratch.close()
         raise

@@ -48,6 +48,12 @@ def scratch_root(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if there is one."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 class Scratch:
     """Intermediate parquet tables of one run, removed together by :meth:`close`.
 
@@ -68,9 +74,7 @@ class Scratch:
 
     def close(self) -> None:
         if self._path is not None:
-            jvm = self._spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(self._path)
-            path.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            remove_path(self._spark, self._path)
             self._path = None
 
 

@@ -1,5 +1,5 @@
 """CSV output."""
 
-from tsnorm.sinks.csv import write_files, write_wide
+from tsnorm.sinks.csv import write_files, write_run, write_wide
 
-__all__ = ["write_files", "write_wide"]
+__all__ = ["write_files", "write_run", "write_wide"]

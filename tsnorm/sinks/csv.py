@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsnorm.functions.times import DEFAULT_FORMATS, format_ts
+from tsnorm.plans.normalize import Aligned
+from tsnorm.session import remove_path
+from tsnorm.sinks.one_file import write_one_file
 
 
 def _options(sep: str, encoding: str) -> dict:
@@ -28,22 +31,25 @@ def write_wide(
     """Folder of CSV parts in time order, each with a header; an existing one is overwritten.
 
     ``notice`` lines go to a text folder ``<path>.notice``, so that the parts stay readable as
-    input. ``single_file`` gives one part, for results that fit one file. With
-    ``time_ordered`` the partitions are in time order already, as those of a run are, and rows
-    are sorted where they are.
+    input; one of an earlier run is removed. With ``single_file`` the path is one file, the notice above its header; it is
+    still written in parts, which are joined. With ``time_ordered`` the partitions are in time order already, as those of a
+    run are, and rows are sorted where they are.
     """
+    ordered = wide.sortWithinPartitions("timestamp") if time_ordered else wide.orderBy("timestamp")
+    shown = ordered.withColumn("timestamp", format_ts(F.col("timestamp"), time_format))
+    options = _options(sep, encoding)
+    beside = f"{path}.notice"
     if single_file:
-        ordered = wide.repartition(1).sortWithinPartitions("timestamp")  # the run itself keeps its tasks
-    elif time_ordered:
-        ordered = wide.sortWithinPartitions("timestamp")
+        write_one_file(shown, path, options, notice)
+        notice = ()
     else:
-        ordered = wide.orderBy("timestamp")
-    shown = ordered.withColumn("timestamp", format_ts(F.col("timestamp"), time_format))
-    shown.write.mode("overwrite").options(**_options(sep, encoding)).csv(path)
+        shown.write.mode("overwrite").options(**options).csv(path)
+    spark = wide.sparkSession
     if notice:
-        spark = wide.sparkSession
         lines = spark.createDataFrame([(line,) for line in notice], "value string")
-        lines.coalesce(1).write.mode("overwrite").text(f"{path}.notice")
+        lines.coalesce(1).write.mode("overwrite").text(beside)
+    else:
+        remove_path(spark, beside)
 
 
 def export_name(source_file):
@@ -86,3 +92,35 @@ def write_files(
     parts = parts.sortWithinPartitions("source_file", "timestamp", "instrument")
     parts = parts.withColumn("timestamp", format_ts(F.col("timestamp"), time_format))
     parts.write.mode("overwrite").partitionBy("source_file").options(**_options(sep, encoding)).csv(path)
+
+
+def write_run(
+    run: Aligned,
+    path: str,
+    *,
+    sep: str = ",",
+    encoding: str = "utf_8",
+    time_format: str | None = None,
+    notice: Sequence[str] = (),
+    single_file: bool = False,
+) -> None:
+    """Write a run as wide CSV, times as in its source unless a format is given.
+
+    One data set: as :func:`write_wide`. A batch: a folder ``source_file=<name>_ForExport`` per source file under ``path``,
+    with that file's columns, parts in time order. Files of equal columns are pivoted and written together, so there
+    are as many writes as there are sets of columns. Files of one base name are refused before anything is written.
+    """
+    if time_format is None:
+        time_format = run.time_format or DEFAULT_FORMATS["normalized"]
+    if not run.keys:
+        write_wide(
+            run.wide(), path, sep=sep, encoding=encoding, time_format=time_format, notice=notice, single_file=single_file, time_ordered=True)
+        return
+    if notice or single_file:
+        raise ValueError("notice and single_file are for one data set")
+    check_names(run.instruments)
+    remove_path(run.instruments.sparkSession, path)
+    for frame in run.wide_files():
+        parts = frame.withColumn("source_file", export_name(F.col("source_file"))).sortWithinPartitions("source_file", "timestamp")
+        parts = parts.withColumn("timestamp", format_ts(F.col("timestamp"), time_format))
+        parts.write.mode("append").partitionBy("source_file").options(**_options(sep, encoding)).csv(path)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tsnorm.functions.names import sanitize_name
@@ -19,6 +19,9 @@ from tsnorm.sources.scan import (
     CsvOptions,
     NoData,
     Readings,
+    Source,
+    header_cells,
+    observed,
     read_cells,
     read_headers,
     reject_duplicates,
@@ -60,7 +63,7 @@ def archive_to_readings(
 
 
 def read_archive(
-    spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch
+    spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch, parsed: Observation | None = None
 ) -> Readings:
     headers = read_headers(spark, paths, opts, scratch, per_file)
     frame = headers.frame
@@ -99,20 +102,25 @@ def read_archive(
         row = F.array(*[F.col(f"_c{i}") for i in range(max(headers.width, 6))])
         # position 0 (a name the file lacks) reads as missing
         picked = {role: F.col(f"_c{i}") if straight else F.get(row, F.col(f"p{i}") - 1) for i, role in enumerate(ROLES)}
-    rows = cells.select(
+    typed = cells.select(
         "source_file",
         tag_key(picked["tag_id"]).alias("tag_id"),
         picked["tag_name"].alias("tag_name"),
         round_ms(parse_ts(picked["time"], fmt), picked["time"]).alias("ts"),
         lenient_double(picked["value"]).alias("value"),
         headers.order.of(not per_file and n_files != 1).alias("ord"),
+        *([picked["time"].alias("time"), picked["value"].alias("number")] if parsed is not None else []),
     )
+    # the names below are another pass, which is not counted
+    rows = observed(
+        typed, parsed, F.expr("time is not null and ts is null"), F.expr("number is not null and value is null"))
 
-    tags = Small(tag_dimension(rows, keys), scratch, "tags")
+    tags = Small(tag_dimension(typed, keys), scratch, "tags")
     if tags.rows is not None:
         pairs = {tuple(r[k] for k in (*keys, "instrument")) for r in tags.rows}
         one_to_one = len(pairs) == len(tags.rows)
     else:
         one_to_one = False
     frame = archive_to_readings(rows, tags.frame, keys)
-    return Readings(frame, keys, tags.frame.select(*keys, "instrument").distinct(), one_to_one)
+    return Readings(frame, keys, tags.frame.select(*keys, "instrument").distinct(), one_to_one,
+                    source=Source(headers.files, fmt, header_cells(headers.frame), parsed))

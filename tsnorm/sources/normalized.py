@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tsnorm.functions.names import BIAS_NAMES, sanitize_name
@@ -16,6 +16,9 @@ from tsnorm.sources.scan import (
     CsvOptions,
     NoData,
     Readings,
+    Source,
+    header_cells,
+    observed,
     one_layout,
     read_cells,
     read_headers,
@@ -72,6 +75,23 @@ def value_array(cols: Small, width: int) -> Column:
     return F.array(*[lenient_double(F.col(f"_c{p}")) for p in places])
 
 
+def with_bad_cells(rows: DataFrame, cols: Small, width: int, by: str) -> DataFrame:
+    """Adds ``bad_cells``, how many of a row's value cells are neither empty nor a number."""
+    shared = one_layout(cols)
+    if shared is not None:
+        places = F.array(*[F.lit(c["pos"]) for c in shared])
+        rows = rows.withColumn("_places", places)
+    else:
+        rows = rows.join(cols.frame.select(by, F.col("cols.pos").alias("_places")), by, "left")
+    cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
+
+    def bad(place: Column) -> Column:
+        cell = F.get(cells, place)
+        return cell.isNotNull() & lenient_double(cell).isNull()
+
+    return rows.withColumn("bad_cells", F.coalesce(F.size(F.filter("_places", bad)), F.lit(0))).drop("_places")
+
+
 def no_name_twice(cols: Small) -> bool:
     """No file has two columns for one instrument."""
     return cols.rows is not None and all(
@@ -80,7 +100,7 @@ def no_name_twice(cols: Small) -> bool:
 
 
 def read_normalized(
-    spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch
+    spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch, parsed: Observation | None = None
 ) -> Readings:
     headers = read_headers(spark, paths, opts, scratch, per_file)
     frame = headers.frame
@@ -105,6 +125,9 @@ def read_normalized(
     elif per_file and (cols.rows is None or len(cols.rows) < headers.files.n):
         cells = cells.join(cols.frame.select("source_file"), "source_file", "left_semi")
     file = "file_no" if merged else "source_file"
+    if parsed is not None:
+        cells = with_bad_cells(cells, cols, headers.width, file)
+        cells = observed(cells, parsed, F.col("_c0").isNotNull() & parse_ts(F.col("_c0"), fmt).isNull(), F.col("bad_cells"))
     rows = cells.select(
         file,
         round_ms(parse_ts(F.col("_c0"), fmt), F.col("_c0")).alias("ts"),
@@ -119,4 +142,5 @@ def read_normalized(
         order = order * headers.files.n + F.col("file_no")
     out = long.select(*keys, "instrument", "ts", "value", "series", order.alias("ord"))
     instruments = cols.frame.select(*keys, F.explode("cols.instrument").alias("instrument")).distinct()
-    return Readings(out, keys, instruments, not merged and no_name_twice(cols))
+    return Readings(out, keys, instruments, not merged and no_name_twice(cols),
+                    source=Source(headers.files, fmt, header_cells(headers.frame), parsed))

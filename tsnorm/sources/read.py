@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from tsnorm.session import Scratch, require_utc
 from tsnorm.sources.archive import read_archive
@@ -29,14 +29,16 @@ def read(
     *,
     per_file: bool = False,
     scratch: Scratch | None = None,
+    parsed: Observation | None = None,
 ) -> Readings:
     """Readings of files in one of the four layouts.
 
     ``paths`` are merged in the order given (later files win), or, with ``per_file``, every
-    file is a data set of its own, keyed by ``source_file``.
+    file is a data set of its own, keyed by ``source_file``, and paths that do not exist are left out.
+    ``parsed`` observes what is read, see :class:`Source`.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {sorted(LAYOUTS)}, not {layout!r}")
     require_utc(spark)
     entries = [paths] if isinstance(paths, str) else list(paths)
-    return LAYOUTS[layout](spark, entries, opts or CsvOptions(), per_file, scratch or Scratch(spark))
+    return LAYOUTS[layout](spark, entries, opts or CsvOptions(), per_file, scratch or Scratch(spark), parsed)

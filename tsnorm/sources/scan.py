@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tsnorm.functions.values import null_tokens
@@ -54,6 +54,28 @@ class CsvOptions:
         return self.encoding.replace("_", "-")
 
 
+@dataclass(frozen=True)
+class Source:
+    """Files of a run: how their times are written, which paths do not exist, and their column names
+    (``source_file, name``). ``parsed`` observes the rows as they are read, if a report is wanted."""
+
+    files: Files
+    time_format: str
+    names: DataFrame
+    parsed: Observation | None = None
+
+
+PARSED = ["n_rows", "bad_times", "bad_values"]
+
+
+def observed(rows: DataFrame, parsed: Observation | None, bad_time: Column, bad_values: Column) -> DataFrame:
+    """Rows, counted in passing: all, those whose time cell is no time, and cells that are no number."""
+    if parsed is None:
+        return rows
+    counts = F.count(F.lit(1)), F.count_if(bad_time), F.coalesce(F.sum(bad_values.cast("bigint")), F.lit(0))
+    return rows.observe(parsed, *[c.alias(n) for c, n in zip(counts, PARSED, strict=True)])
+
+
 @dataclass(frozen=True)
 class Readings:
     """Readings of one run, or of many files that are each a run of their own.
@@ -62,7 +84,7 @@ class Readings:
     pair or tag of the source a row came from) and ``ord`` (later wins). ``unique`` says that
     (keys, instrument, ts) occurs once already. ``instruments`` lists every instrument of the
     source, also those a filter leaves without a value; None: those that have one. If it comes
-    ``from_data``, using it is a pass over the source.
+    ``from_data``, using it is a pass over the source. ``source`` tells more of the files it was read from.
     """
 
     frame: DataFrame
@@ -70,6 +92,7 @@ class Readings:
     instruments: DataFrame | None
     unique: bool
     from_data: bool = False
+    source: Source | None = None
 
 
 def _reader(spark: SparkSession, opts: CsvOptions, header: bool):

@@ -8,19 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tsnorm.functions.names import sanitize_name, unit_label
-from tsnorm.functions.times import elapsed_to_ts, elapsed_unit_us, infer_ts, round_ms
+from tsnorm.functions.times import DEFAULT_FORMATS, elapsed_to_ts, elapsed_unit_us, infer_ts, round_ms
 from tsnorm.session import Scratch, Small
 from tsnorm.sources.files import list_files
-from tsnorm.sources.normalized import explode_values, value_array
+from tsnorm.sources.normalized import explode_values, value_array, with_bad_cells
 from tsnorm.sources.scan import (
     CsvOptions,
     DuplicateColumns,
     NoData,
     Readings,
+    Source,
+    observed,
     RowOrder,
     field_count,
     parse_lines,
@@ -97,7 +99,7 @@ def read_preambles(lines: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
 
 
 def read_strain(
-    spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch
+    spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch, parsed: Observation | None = None
 ) -> Readings:
     files = list_files(spark, paths, scratch, per_file)
     order = RowOrder(spark, files)
@@ -130,6 +132,7 @@ def read_strain(
         told = [f"{r.source_file}: tag {r.raw!r} occurs {r['count']} times" for r in repeated.orderBy("file_no", "raw").limit(20).collect()]
         if told:
             raise DuplicateColumns(f"{repeated.count()} repeated tags, the first of them: {'; '.join(told)}")
+    names = cells.select("source_file", F.col("raw").alias("name"))
     cells = cells.withColumn("instrument", sanitize_name(F.col("raw")))
     cols = Small(value_columns(cells, per_file, by_name=True), scratch, "columns")
     heads = Small(heads.select("file_no", "source_file", "id_col", "id_block", "id_row", "start_us", "unit_us"), scratch, "heads")
@@ -145,10 +148,14 @@ def read_strain(
         rows = rows.withColumn("cells", F.explode(F.array(cells)))
         elapsed = F.get("cells", F.col("id_col") + 1)
     ts = elapsed_to_ts(F.timestamp_micros("start_us"), elapsed, F.col("unit_us"))
+    if parsed is not None:
+        rows = with_bad_cells(rows, cols, width, "file_no")
+        rows = observed(rows, parsed, elapsed.isNotNull() & ts.isNull(), F.col("bad_cells"))
     ids = ["file_no", "source_file", "block", "row", "ts"]
     rows = rows.select(*ids[:-1], round_ms(ts).alias("ts"), value_array(cols, width).alias("vals")).where("ts is not null")
     out = explode_values(rows, cols, ids).select(
         *keys, "instrument", "ts", "value", "series",
         order.of(not per_file, F.col("series"), series_count(cols)).alias("ord"))
     # a column without any value is no instrument here, so the data decides
-    return Readings(out, keys, out.select(*keys, "instrument").distinct(), False, from_data=True)
+    return Readings(out, keys, out.select(*keys, "instrument").distinct(), False, from_data=True,
+                    source=Source(files, opts.time_format or DEFAULT_FORMATS["strain"], names, parsed))

@@ -4,14 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tsnorm.functions.names import sanitize_name, trend_name
 from tsnorm.functions.times import DEFAULT_FORMATS, parse_ts, round_ms
 from tsnorm.functions.values import lenient_double
 from tsnorm.session import Scratch, Small
-from tsnorm.sources.scan import CsvOptions, NoData, Readings, one_layout, read_cells, read_headers, series_count, value_columns
+from tsnorm.sources.scan import (
+    CsvOptions,
+    NoData,
+    Readings,
+    Source,
+    header_cells,
+    observed,
+    one_layout,
+    read_cells,
+    read_headers,
+    series_count,
+    value_columns,
+)
 
 
 def trend_unpivot(
@@ -27,7 +39,7 @@ def trend_unpivot(
 
 
 def read_trend(
-    spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch
+    spark: SparkSession, paths: Sequence[str], opts: CsvOptions, per_file: bool, scratch: Scratch, parsed: Observation | None = None
 ) -> Readings:
     headers = read_headers(spark, paths, opts, scratch, per_file)
     pairs = headers.frame.select("file_no", "source_file", "width", F.posexplode("names").alias("pos", "raw")).where(
@@ -61,10 +73,12 @@ def read_trend(
         *keys, "instrument",
         round_ms(parse_ts(F.col("ts"), fmt), F.col("ts")).alias("ts"),
         lenient_double(F.col("value")).alias("value"),
+        *([F.col("ts").alias("time"), F.col("value").alias("number")] if parsed is not None else []),
         "series",
         # a series is one pair of one file, so the place in the file decides within it
         headers.order.of(False, F.col("series"), n_series).alias("ord"),
     )
-    out = long.where("ts is not null and value is not null")
+    long = observed(long, parsed, F.expr("time is not null and ts is null"), F.expr("number is not null and value is null"))
+    out = long.where("ts is not null and value is not null").drop("time", "number")
     instruments = cols.frame.select(*keys, F.explode("cols.instrument").alias("instrument")).distinct()
-    return Readings(out, keys, instruments, False)
+    return Readings(out, keys, instruments, False, source=Source(headers.files, fmt, header_cells(headers.frame), parsed))
