@@ -49,6 +49,14 @@ def grid_bounds(
     return [start.alias("grid_start"), period_us.alias("period_us"), points.cast("bigint").alias("points")]
 
 
+def one_grid(first_us: int, last_us: int, period_us: int, start_us: int | None = None, end_us: int | None = None) -> Grid:
+    """:func:`grid_bounds` of one run whose bounds are known."""
+    low = first_us if start_us is None else max(first_us, start_us)
+    high = last_us if end_us is None else min(last_us, end_us)
+    start = low - low % period_us
+    return Grid(start, period_us, (high - start) // period_us + 1 if high >= low else 0)
+
+
 def expand_points(rows: DataFrame, low: Column, high: Column, name: str, chunk: int = CHUNK_POINTS) -> DataFrame:
     """One row per whole number from ``low`` to ``high``, both included; none when low > high.
 

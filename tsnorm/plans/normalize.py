@@ -14,7 +14,7 @@ from tsnorm.functions.times import end_bound, parse_period, start_bound
 from tsnorm.operators.dedupe import append_series
 from tsnorm.operators.fill import carried_rows, fill_chunks, fill_zero
 from tsnorm.operators.filters import time_range
-from tsnorm.operators.grid import CHUNK_POINTS, GRID_COLUMNS, Grid, GridTooLarge, grid_bounds
+from tsnorm.operators.grid import CHUNK_POINTS, GRID_COLUMNS, Grid, GridTooLarge, grid_bounds, one_grid
 from tsnorm.operators.period import common_period
 from tsnorm.operators.quality import duplicate_names, shared_names
 from tsnorm.operators.resample import label_us, parse_stats, resample_with_bounds, series_bounds, series_modes
@@ -200,35 +200,42 @@ def normalize(
     sampled = scratch.table(resample_with_bounds(rows, chosen, keys), "sampled")
     bounds = Small(series_bounds(sampled, keys), scratch, "bounds")
     if bounds.rows is not None and all(b["fullest"] >= 2 for b in bounds.rows):
-        modes, mixed = bounds.frame.withColumn("down", F.lit(True)), False
+        modes = bounds.extended("down", "boolean", lambda b: True, F.lit(True))
+        mixed = False
     else:
-        small = Small(series_modes(sampled, keys), scratch, "modes")
-        modes, mixed = small.frame, small.rows is None or not all(m["down"] for m in small.rows)
-    seeds = modes.select(*named, "down")
+        modes = Small(series_modes(sampled, keys), scratch, "modes")
+        mixed = modes.rows is None or not all(m["down"] for m in modes.rows)
     filtered = query is not None or start_us is not None or end_us is not None
-    if readings.instruments is not None and (filtered or not readings.from_data):
-        seeds = readings.instruments.join(seeds, named, "left")
-
-    ends = modes.groupBy(*keys).agg(
-        F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"),
-        F.first("period_us").alias("period_us"))
-    grids = ends.where("first_us is not null").select(
-        *keys, *grid_bounds(F.col("first_us"), F.col("last_us"), F.col("period_us"), start_us, end_us))
+    named_all = readings.instruments is not None and (filtered or not readings.from_data)
     listed = None
     if keys:
         grid = None
+        ends = modes.frame.groupBy(*keys).agg(
+            F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"), F.first("period_us").alias("period_us"))
+        grids = ends.where("first_us is not null").select(
+            *keys, *grid_bounds(F.col("first_us"), F.col("last_us"), F.col("period_us"), start_us, end_us))
         grids = Small(grids, scratch, "grids").frame
+        seeds = modes.frame.select(*named, "down")
+        if named_all:
+            seeds = readings.instruments.join(seeds, named, "left")
         seeds = seeds.join(grids, list(keys))
         total = seeds.agg(F.sum("points")).first()[0]
         sampled = sampled.drop("period_us").join(grids, list(keys))
     else:
-        found = grids.first()
-        if found is None:
+        if modes.rows is not None:
+            first, last = (f((m[c] for m in modes.rows), default=None) for f, c in ((min, "first_us"), (max, "last_us")))
+            step = modes.rows[0]["period_us"] if modes.rows else None
+        else:
+            first, last, step = modes.frame.agg(F.min("first_us"), F.max("last_us"), F.first("period_us")).first()
+        if first is None:
             raise NoData("no data found: no reading has a valid time and value")
-        grid = Grid(*[found[c] for c in GRID_COLUMNS])
-        small = Small(seeds, scratch, "instruments")
-        seeds, listed = small.frame, small.rows
+        grid = one_grid(first, last, step, start_us, end_us)
+        seeds, listed = modes.frame.select("instrument", "down"), modes.rows
+        if named_all:
+            small = Small(readings.instruments.join(seeds, named, "left"), scratch, "instruments")
+            seeds, listed = small.frame, small.rows
         total = grid.points * (len(listed) if listed is not None else seeds.count())
+    modes = modes.frame
     if total is None:
         raise NoData("no data found: no reading has a valid time and value")
     if max_cells is not None and total > max_cells:

@@ -46,6 +46,9 @@ _SUMMARY_GAPS = """select instrument, min(gap) as gap from (
     from events) where gap > 0 group by instrument"""
 _LAST_ORDER = """select * from orders qualify row_number() over (partition by o_orderdate order by o_orderkey desc) = 1"""
 
+_FILE_ROWS = """(select event_type, date_trunc('millisecond', ts) as ts, max(value) as value from events group by all)"""
+_FILE_READINGS = f"""(select event_type, ts, value from {_FILE_ROWS} where second(ts) not in (7, 9) and value is not null)"""
+
 ORACLES = {
     "normalize_wide": f"""
 with b as ({_buckets(_HOUR, "avg(value) as v")}),
@@ -228,3 +231,19 @@ from ({_buckets(_HOUR, "avg(value) as v")}) group by bucket""",
 select bucket, {_pivot([(f"value_{n}_{s}", n, c) for n in _TYPES for s, c in (("min", "mi"), ("max", "ma"))])}
 from ({_buckets("interval '1 day'", "min(value) as mi, max(value) as ma")}) group by bucket order by bucket""",
 }
+
+ORACLES |= {
+    "csv_records": "select doc_id, length(nullif(text, '')) as n_chars, md5(nullif(text, '')) as digest from documents",
+    "archive_run": f"""
+with b as ({_buckets(_HOUR, "max(value) as v", _FILE_READINGS)})
+select 'tag_' || s.instrument as instrument, s.t as "timestamp", coalesce(b.v, 0.0) as max
+from (select t, instrument from ({_grid(_HOUR, _FILE_READINGS)})
+      cross join (select distinct event_type as instrument from {_FILE_READINGS})) s
+asof left join b on s.instrument = b.instrument and s.t >= b.bucket""",
+    "archive_report": f"""
+select count(*) as n_rows, count(*) filter (second(ts) = 7) as bad_times, count(*) filter (second(ts) = 9) as bad_values,
+    count(*) filter (second(ts) not in (7, 9) and value is not null) as kept, 1 as missing
+from {_FILE_ROWS} where event_type in ('click', 'view', 'error')""",
+    "batch_wide": "select source_file, \"timestamp\", 'value_' || instrument as name, mean from ("
+    + ORACLES["batch_resample"].replace("from orders qualify", "from orders where o_orderpriority <> '5-LOW' or o_orderstatus <> 'P' qualify") + ")",
+}

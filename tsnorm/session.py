@@ -48,6 +48,11 @@ def scratch_root(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A place of its own in the shared folder."""
+    return f"{scratch_root(spark)}/tsnorm-{uuid.uuid4().hex}/{name}"
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a file or folder, if there is one."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -101,3 +106,10 @@ class Small:
         out.rows = None if self.rows is None else [r for r in self.rows if keep(r)]
         out.frame = self.frame.where(condition)
         return out
+
+    def extended(self, name: str, kind: str, value: Callable[[dict], object], column: Column) -> Small:
+        """With a further column, told twice like the rows of :meth:`where`."""
+        out = copy(self)
+        out.rows = None if self.rows is None else [r | {name: value(r)} for r in self.rows]
+        out.frame = self.frame.withColumn(name, column.cast(kind))
+        return out
