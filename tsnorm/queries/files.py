@@ -9,6 +9,7 @@ from tsnorm.operators.merge import union_all
 from tsnorm.plans import normalize, normalize_files
 from tsnorm.queries.tables import query, rounded
 from tsnorm.session import Scratch, scratch_folder
+from tsnorm.sinks.store import DAY_US, SeriesStore
 from tsnorm.sources.scan import CsvOptions, Readings, read_cells, read_headers
 
 CSV = {"header": True, "escape": '"', "quoteAll": True}
@@ -76,3 +77,24 @@ def batch_wide(table):
         return wide.unpivot(["source_file", "timestamp"], values, "name", "mean")
 
     return rounded(union_all([melted(w) for w in run.wide_files()]))
+
+
+def event_store(table) -> SeriesStore:
+    """Events of even number, then those of odd number appended, then clicks of high value in the place of all."""
+    events = table("events").select(
+        F.col("event_type").alias("instrument"), "ts", "value", F.lit(0).alias("series"), F.col("event_id").alias("ord"))
+    store = SeriesStore(events.sparkSession, scratch_folder(events.sparkSession, "store"), chunk_us=7 * DAY_US)
+    store.append(events.where("ord % 2 = 0"))
+    store.append(events.where("ord % 2 = 1"))
+    store.replace(events.where("instrument = 'click' and value > 50"))
+    return store
+
+
+@query
+def stored_series(table):
+    return event_store(table).read()
+
+
+@query
+def stored_summary(table):
+    return event_store(table).summary()

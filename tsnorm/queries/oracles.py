@@ -232,7 +232,15 @@ select bucket, {_pivot([(f"value_{n}_{s}", n, c) for n in _TYPES for s, c in (("
 from ({_buckets("interval '1 day'", "min(value) as mi, max(value) as ma")}) group by bucket order by bucket""",
 }
 
+_STORED = """(select event_type as instrument, ts, value from events where value is not null and (event_type <> 'click' or value > 50)
+    qualify row_number() over (partition by event_type, ts
+        order by case when event_type = 'click' then 0 else event_id % 2 end desc, event_id desc) = 1)"""
+
 ORACLES |= {
+    "stored_series": f"select * from {_STORED}",
+    "stored_summary": f"""
+select instrument, min(ts) as start_ts, max(ts) as end_ts, count(*) as n, min(case when gap > 0 then gap end) as period_us
+from (select *, epoch_us(ts) - lag(epoch_us(ts)) over (partition by instrument order by ts) as gap from {_STORED}) group by instrument""",
     "csv_records": "select doc_id, length(nullif(text, '')) as n_chars, md5(nullif(text, '')) as digest from documents",
     "archive_run": f"""
 with b as ({_buckets(_HOUR, "max(value) as v", _FILE_READINGS)})
