@@ -382,7 +382,8 @@ def test_chat_windows_read_back(spark):
     rows += [(20, 0, "system", "only"), (21, 0, None, None), (21, None, "assistant", "\\l<turn>\\b</turn>\n\\n"), (22, 1, "a\nb<", "x"), (22, 1, "a\nb<", "x"),
              (None, 1, "assistant", "z"), (23, 5, "assistant", prose(1, 900)), (23, 6, "assistant", "")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, span int").repartition(3)
-    formatted = chat.windows(df, budget=200, history=50)
+    df = df.withColumn("n", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]")) + 4)  # words stand for tokens here
+    formatted = chat.windows(df, budget=200, history=50, tokens="n")
     back = sorted(chat.read_back(formatted).collect(), key=lambda r: (r["conv_id"] is not None, r["conv_id"] or 0, r["window"]))
     want = {}
     for c, t, role, text in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0)):
@@ -398,6 +399,25 @@ def test_chat_windows_read_back(spark):
     assert any(r["n_context"] for r in formatted.collect()) and chat.windows(df.limit(0)).count() == 0
 
 
+def test_chat_budgets_hold_for_a_tokenizer(spark, reference):
+    """Counted by bytes, or by the tokenizer itself in a column, no window has more ids than it says, nor than the budget."""
+    rng = random.Random(16)
+    odd = ["x9" * 60, "0123456789abcdef" * 20, "漢字" * 40, "\U0001f600" * 9, "\\<\n" * 30, "<|endoftext|> a", " " * 50]
+    rows = [(c, t, ["system", "user", "assistant"][t % 3], rng.choice([*odd, prose(t, rng.choice([1, 9, 30]))])) for c in range(8) for t in range(25)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    spelled = {r: reference(f"<turn>{r[0]}\n{r[1]}</turn>\n") for r in {(x[2], x[3].replace("\\", "\\b").replace("<", "\\l")) for x in rows}}
+    ids = spark.createDataFrame([(*k, len(v)) for k, v in spelled.items()], "role string, told string, ids long")
+    exact = df.withColumn("told", chat.escape(F.col("text"))).join(ids, ["role", "told"])
+    sizes = []
+    for formatted in (chat.windows(df, 700, 200), chat.windows(exact, 700, 200, tokens="ids")):
+        found = formatted.collect()
+        for r in found:
+            n = len(reference(r["text"]))
+            assert n <= r["tokens"] and (r["tokens"] <= 700 or r["n_turns"] - (r["window"] == 0) <= 1)  # the system turn is one of the first window
+        sizes.append(len(found))
+    assert sizes[1] < sizes[0]
+
+
 def test_pipeline_stages_match_plain_python(spark, tmp_path):
     """What each stage before packing keeps and what its texts become, on planted copies, passages, benchmark words and clean documents."""
     items = [(i, prose(70000 + i, 30)) for i in range(5)]

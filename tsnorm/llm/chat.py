@@ -9,7 +9,6 @@ from pyspark.sql.window import Window
 from tsnorm.llm import common
 
 OPEN, CLOSE = "<turn>", "</turn>\n"
-MARKS = 4  # tokens counted for the marks of a turn
 
 
 def escape(text: Column) -> Column:
@@ -29,12 +28,17 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("\\n"), F.lit("\n")))
 
 
-def token_count(text: Column) -> Column:
-    """Words and single marks, as an estimate of tokens that needs no tokenizer."""
-    return F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]")).cast("long")
+def formatted_turn(role: Column, text: Column) -> tuple[Column, Column, Column]:
+    """What a turn begins with, its text and the mark behind it, as they stand in a window."""
+    return F.concat(F.lit(OPEN), escape_role(role), F.lit("\n")), escape(text), F.lit(CLOSE)
 
 
-def numbered(rows: DataFrame, budget: int, history: int) -> DataFrame:
+def most_tokens(role: Column, text: Column) -> Column:
+    """UTF-8 bytes of a formatted turn: no tokenizer that falls back on bytes, or knows longer strings only, makes more ids of it."""
+    return F.octet_length(F.concat(*formatted_turn(role, text))).cast("long")
+
+
+def numbered(rows: DataFrame, budget: int, history: int, tokens: str | None = None) -> DataFrame:
     """Turns with rank (place in the conversation), before (tokens of its turns before) and span.
 
     Prefix sums are taken in two levels: turns are dealt by ranges of (conversation, turn), summed
@@ -44,10 +48,11 @@ def numbered(rows: DataFrame, budget: int, history: int) -> DataFrame:
     a turn that crosses the end of a stretch is a span of its own.
     """
     key = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
+    given = F.lit(None).cast("long") if tokens is None else F.col(tokens).cast("long")
     turns = rows.select(
         key.alias("key"), "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-        common.row_id().alias("row"))
-    turns = turns.withColumns({"tokens": token_count(F.col("text")) + MARKS, "tie": F.xxhash64("text")})
+        common.row_id().alias("row"), given.alias("tokens"))
+    turns = turns.withColumns({"tokens": F.coalesce("tokens", most_tokens(F.col("role"), F.col("text"))), "tie": F.xxhash64("text")})
     order = ["turn", "role", "tie", "row"]
     dealt = common.stage(
         turns.repartitionByRange("key", *order).withColumn("part", F.spark_partition_id()), "turns")
@@ -78,12 +83,14 @@ def numbered(rows: DataFrame, budget: int, history: int) -> DataFrame:
         out.select("key", "conv_id", "rank", "before", "tokens", "system", "span", "role", "text"), "numbered")
 
 
-def windows(rows: DataFrame, budget: int = 1024, history: int = 256, history_turns: int = 2) -> DataFrame:
+def windows(rows: DataFrame, budget: int = 4096, history: int = 1024, history_turns: int = 2, tokens: str | None = None) -> DataFrame:
     """Training windows of conversations (conv_id, turn, role, text), turns in the order of turn.
 
     A window holds the system turn (a first turn of that role), up to ``history_turns`` turns before
     its own with at most ``history`` tokens in all, and the turns of its span, so at most ``budget``
-    tokens unless a single turn or the system turn is longer than its part. The loss mask covers the text of each
+    tokens unless a single turn or the system turn is longer than its part. A turn counts as many tokens as it has UTF-8 bytes once it is
+    formatted, marks included, which is never too few; ``tokens`` names a column with smaller counts, such as those of a
+    tokenizer (of the formatted turn; null: bytes). The loss mask covers the text of each
     assistant turn in the one window whose span it is in; repeated turns have none.
 
     Columns: conv_id, window (ascending in the conversation), n_context (repeated turns at its begin),
@@ -92,7 +99,7 @@ def windows(rows: DataFrame, budget: int = 1024, history: int = 256, history_tur
     empty; turns with equal numbers are ordered by role and text, repeated rows are repeated turns; rows
     of a null conv_id are one conversation; null turns come first. Other columns are not carried.
     """
-    turns = numbered(rows, budget, history)
+    turns = numbered(rows, budget, history, tokens)
     body = turns.filter(~F.col("system"))
     spans = body.groupBy("key", "span").agg(F.min("rank").alias("first"), F.min("before").alias("start"))
     columns = ["key", "conv_id", "span", "rank", "tokens", "own", "role", "text"]
@@ -106,10 +113,9 @@ def windows(rows: DataFrame, budget: int = 1024, history: int = 256, history_tur
         turns.filter("system").drop("span").join(spans.filter("span > 0").select("key", "span"), "key")
         .withColumn("own", F.lit(False)).select(columns))
     every = new.unionByName(system) if past is None else new.unionByName(system).unionByName(past)
-    head = F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n"))
-    told = escape(F.col("text"))
+    head, told, close = formatted_turn(F.col("role"), F.col("text"))
     piece = F.struct(
-        "rank", "own", "tokens", F.concat(head, told, F.lit(CLOSE)).alias("piece"),
+        "rank", "own", "tokens", F.concat(head, told, close).alias("piece"),
         F.length(head).alias("begin"), F.length(told).alias("length"), (F.col("own") & (F.col("role") == "assistant")).alias("loss"))
     pieces = every.select("key", "conv_id", "span", piece.alias("p")).groupBy("key", "span").agg(
         F.first("conv_id").alias("conv_id"), F.array_sort(F.collect_list("p")).alias("p"))
