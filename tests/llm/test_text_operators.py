@@ -470,3 +470,40 @@ def test_pipeline_stages_match_plain_python(spark, tmp_path):
         assert docs.filter("n_chars <> length(text)").count() == 0 and docs.count() == len(want), name
         lost.append(sum(want.get(i) != t for i, t in before.items()))
     assert all(lost) and want[39] == next(t for i, t in rows if i == 39)
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    """Rows without doc_id, rows that share one, and rows that are there twice."""
+    asked, other = prose(90001, 30), prose(90003, 30)
+    spark.createDataFrame([(1, asked), (2, other)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    copy, own = prose(90002, 60), [prose(90010 + i, 60) for i in range(6)]
+    rows = [(1, copy), (None, copy), (None, copy), (7, copy), (7, own[0]), (8, own[1]), (8, own[1]), (None, own[2]), (None, own[2] + " more")]
+    rows += [(None, asked + " " + own[3]), (9, other + " " + own[4]), (9, own[5])]
+    docs = spark.createDataFrame([(i, t, "xx", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for stage in (s for _, s in corpus_pipeline.STAGES[:-1]):
+        docs = common.stage(stage(spark, docs.repartition(3), str(tmp_path)), "next")
+    got = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+    want = [(1, copy), (7, own[0]), (8, own[1]), (9, own[5])]
+    assert [g for g in got if g[0] is not None] == want
+    assert [g[1].removesuffix(" more") for g in got if g[0] is None] == [own[2]]
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    docs = documents(spark, []).select(corpus_pipeline.COLUMNS)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_row_numbers_are_those_of_the_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 1000, 1, 7).write.parquet(path)
+    one, two = (common.with_row(spark.read.parquet(path)) for _ in range(2))
+    assert one.select("row").distinct().count() == 1000
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert one.join(two.withColumnRenamed("id", "other"), "row").filter("id <> other").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert common.with_row(spark.range(5).filter("id > 1")).count() == 3

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +74,18 @@ def row_id() -> Column:
     return F.monotonically_increasing_id()
 
 
+def with_row(docs: DataFrame, name: str = "row") -> DataFrame:
+    """The rows with a number each, a long that is the same in every later scan: the place of its Parquet file among the
+    files' names, and its place in the file. A frame that is no plain scan of Parquet files is written first."""
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    except AnalysisException:
+        return with_row(stage(docs, "rows"), name)
+    names = sorted(r[0] for r in placed.select("_file").distinct().collect())  # one row a file
+    files = docs.sparkSession.createDataFrame(pa.table({"_file": pa.array(names, pa.string()), "_no": pa.array(range(len(names)), pa.int64())}))
+    return placed.join(files, "_file").withColumn(name, F.shiftleft("_no", 40) + F.col("_index")).drop("_file", "_index", "_no")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name near ``name`` that the frame does not have (names differ in case only count as one)."""
     have = {c.lower() for c in df.columns}
