@@ -10,6 +10,7 @@ from tsnorm.llm import common, decontamination, language, near_dedup, packing, s
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+NO_ID = 1 << 62  # rows without doc_id are numbered from here
 LEAST_COVERAGE = 0.3  # share of a text's n-grams that its best language must hold
 
 
@@ -20,22 +21,40 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five words, similarity 0.8."""
-    found = near_dedup.near_duplicates(docs, shingle=5, percent=80)
-    gone = common.stage(found.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
-    alone, shared = common.divide(docs.select(COLUMNS), F.xxhash64("doc_id"), gone.select(F.xxhash64("doc_id").alias("h")))
-    return alone.unionByName(shared.join(gone, "doc_id", "left_anti").select(COLUMNS))
+    """One row of each group of near copies stays, the one of least doc_id (null last): five words, similarity 0.8.
+
+    Rows are told apart by their place in the input, so a row with a text of its own stays whatever other rows share its
+    doc_id, rows without doc_id are treated like any, and of a row that is there twice one is left. Texts without a word are
+    copies of nothing; all of them stay.
+    """
+    rows = common.with_row(docs)
+    found = near_dedup.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"), shingle=5, percent=80)
+    found = found.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", F.col("doc_id").alias("id")), "row")
+    found = common.stage(found, "groups")
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    first = found.groupBy("component_id").agg(F.min_by("row", order).alias("first"))
+    gone = common.stage(found.join(first, "component_id").filter("row <> first").select("row"), "gone")
+    alone, shared = common.divide(rows, F.xxhash64("row"), gone.select(F.xxhash64("row").alias("h")))
+    return alone.select(COLUMNS).unionByName(shared.join(gone, "row", "left_anti").select(COLUMNS))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand in an earlier document are cut out; n_chars follows the text."""
-    cut = substring_dedup.dedup_substrings(docs.select(COLUMNS))
-    return cut.withColumn("n_chars", F.when(F.size("removed_spans") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(COLUMNS)
+    """Passages that stand in a document of smaller doc_id are cut out; n_chars follows the text.
+
+    All rows stay. Rows without doc_id come after all others, each a document of its own; rows that share a doc_id
+    count as one and keep each other's passages. Null texts stay null. Without rows there is nothing to do.
+    """
+    rows = common.with_row(docs).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.col("row") + NO_ID))
+    cut = substring_dedup.dedup_substrings(rows.select(COLUMNS))
+    cut = cut.withColumn("n_chars", F.when(F.size("removed_spans") > 0, F.length("text")).otherwise(F.col("n_chars")))
+    return cut.withColumn("doc_id", F.when(F.col("doc_id") < NO_ID, F.col("doc_id"))).select(COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold ten consecutive words of a benchmark item go."""
-    return decontamination.clean(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Rows that hold ten consecutive words of a benchmark item go, each by its own text, whatever its doc_id."""
+    rows = common.with_row(docs).withColumn("own", F.col("doc_id")).withColumn("doc_id", F.col("row"))
+    kept = decontamination.clean(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return kept.withColumn("doc_id", F.col("own")).select(COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +73,11 @@ ORACLE_SQL = None  # packing needs a tokenizer, language ID a model: tests/llm/t
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents; each result is written to the shared folder and read by the next."""
+    """All stages on documents; each result is written to the shared folder and read by the next.
+
+    Null texts and texts without a letter go in the first stage. An empty table of documents gives no sequences, an empty
+    benchmark hits nothing; further columns of the input are not carried.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = common.stage(stage(spark, docs, sf_dir), name)
