@@ -152,6 +152,24 @@ def test_asof_with_many_rows_of_one_time(spark):
     assert got.groupBy("n").count().collect()[0] == (19_999, 20_000)
 
 
+def test_asof_is_planned_without_a_job_and_bounded_in_a_burst(spark, monkeypatch):
+    """Half of all rows in one second; times carried over spans of chunks; nothing is run while the plan is built."""
+    import sys
+
+    monkeypatch.setattr(sys.modules["tsnorm.operators.asof"], "SPAN_CHUNKS", 3)
+    rng = random.Random(5)
+    left = [("a", rng.randrange(1_000_000) if i % 2 else rng.randrange(10**9), i) for i in range(400)]
+    right = [("a", rng.randrange(1_000_000) if i % 2 else rng.randrange(10**9), i) for i in range(60)]
+    ldf = spark.createDataFrame(left, "k string, us bigint, id int").withColumn("ts", F.timestamp_micros("us"))
+    rdf = spark.createDataFrame(right, "k string, us bigint, n int").select("k", F.timestamp_micros("us").alias("at"), "n")
+    spark.sparkContext.setJobGroup("asof-plan", "")
+    got = asof_backward(ldf, rdf, ["k"], "ts", "at", order=["n"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("asof-plan")
+    spark.sparkContext.setJobGroup("rest", "")
+    want = {i: max(((u, n) for _, u, n in right if u <= us), default=(None, None))[1] for _, us, i in left}
+    assert {r.id: r.n for r in got.collect()} == want
+
+
 def test_grid(spark):
     ends = spark.createDataFrame([(12, 31, 5), (10, 30, 5), (7, 7, 5)], "a bigint, b bigint, p bigint")
     cols = [F.col(c) for c in "abp"]
