@@ -128,9 +128,11 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFram
     buckets = packed(measured[0], BUCKET, vectors.count())
     blocks = packed(measured[1], QUERIES, queries.count())
     tops = buckets.groupBy("dims").agg(F.min("block").alias("block"))  # longest first: one row per dimension
+    # every block of queries meets the one longest bucket, of which each salt has a copy: no key has all blocks
+    copies = buckets.join(tops, ["dims", "block"], "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     first = (
-        blocks.select(F.struct(*blocks.columns).alias("q"), "dims").join(tops.withColumnRenamed("block", "top"), "dims")
-        .join(buckets.select(F.struct(*buckets.columns).alias("b"), F.col("block").alias("top")), "top"))
+        blocks.select(F.struct(*blocks.columns).alias("q"), "dims", F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int").alias("salt"))
+        .join(copies.select("dims", "salt", F.struct(*buckets.columns).alias("b")), ["dims", "salt"]))
 
     @common.tidy
     def thresholds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
