@@ -32,8 +32,8 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     found = found.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", F.col("doc_id").alias("id")), "row")
     found = common.stage(found, "groups")
     order = F.struct(F.col("id").isNull(), "id", "row")
-    first = found.groupBy("component_id").agg(F.min_by("row", order).alias("first"))
-    gone = common.stage(found.join(first, "component_id").filter("row <> first").select("row"), "gone")
+    stay = found.groupBy("component_id").agg(F.min_by("row", order).alias("row")).select("row")
+    gone = common.stage(found.select("row").join(stay, "row", "left_anti"), "gone")  # by row, so no task has a whole group
     alone, shared = common.divide(rows, F.xxhash64("row"), gone.select(F.xxhash64("row").alias("h")))
     return alone.select(COLUMNS).unionByName(shared.join(gone, "row", "left_anti").select(COLUMNS))
 
