@@ -10,7 +10,7 @@ import pyarrow as pa
 
 from tsnorm.llm.common import slices, text_bytes
 
-RUN_BYTES = 16 << 20  # of texts whose pieces are told apart together
+RUN_BYTES = 12 << 20  # of texts whose pieces are told apart together
 JOINED = 1 << 16  # bytes of pieces that the library takes at once
 LETTERS = 0x250  # below it, all versions of Unicode have the same letters
 
@@ -71,11 +71,13 @@ class Pieces:
         told = large_binary(data, np.append(cuts, len(data))).dictionary_encode()
         known, bounds = self.distinct(*binary_bytes(told.dictionary))
         which = told.indices.to_numpy()
+        size = np.int32 if len(data) < 1 << 31 else np.int64  # there are no more ids than bytes
+        bounds = bounds.astype(size)
         n = (bounds[1:] - bounds[:-1])[which]
-        ends = np.cumsum(n)
+        ends = np.cumsum(n, dtype=size)
         at = np.repeat(bounds[which] - (ends - n), n)
-        at += np.arange(int(ends[-1]))
-        return known[at], np.concatenate(([0], ends))[np.searchsorted(cuts, offsets)]
+        at += np.arange(int(ends[-1]), dtype=size)
+        return known[at], np.concatenate(([0], ends)).astype(np.int64)[np.searchsorted(cuts, offsets)]
 
     def distinct(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces, and where each one's begin."""
