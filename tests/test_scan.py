@@ -70,6 +70,19 @@ def test_a_cell_longer_than_many_splits(spark, write):
     assert got == plain(text, 2) and len(got) == 4
 
 
+@pytest.mark.parametrize("size", ["350b", "2000b"])
+def test_separators_in_the_lines_of_a_cell(spark, write, size):
+    """A line within a quoted cell is no row, however many separators it has; rows that are too long are found as before."""
+    text = "t,a\n" + "".join(f'{i},"first\nx, y, z, {i}\n,,"\n{i},plain\n' for i in range(60)) + "".join(f"{i},end\n" for i in range(300))
+    with settings(spark, maxPartitionBytes=size):
+        assert cells_of(spark, [write("q.csv", text)]) == plain(text, 2)
+        for at in (text.index("30,plain"), text.index("250,end")):  # in splits with such cells, and in those without
+            path = write("l.csv", text[:at] + "7,too,long\n" + text[at:])
+            with pytest.raises(Exception, match="a row of more than 2 cells in .*l.csv: 7,too,long"):
+                cells_of(spark, [path])
+            assert cells_of(spark, [path], tsnorm.CsvOptions(long_rows="skip")) == plain(text, 2)
+
+
 @pytest.mark.parametrize("sep", [",", ";", "\t"])
 def test_whether_a_line_ends_inside_a_cell(spark, sep):
     lines = ["a", '"a"', '"a', 'a"', '1;"a', '1; "a', '1;x"a', '""', '"""', '"a"";"b', '"a";"b', '"a" "b', 'b";"c', 'b"";"c', '";"', ";", '"a""']

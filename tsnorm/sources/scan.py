@@ -208,7 +208,9 @@ def scan_cells(spark: SparkSession, files: Files, opts: CsvOptions, width: int,
             lines = scan_physical_lines(spark, files, opts).where(size > limit)
             broken = Small(broken_splits(lines, opts.sep), scratch, "broken")
         if broken is not None and (broken.rows is None or broken.rows):
-            large = large.join(broken.frame, ["source_file", "block"], "left_anti")
+            # not an anti join: the check for long rows would be pushed below it, to lines within quoted cells
+            large = large.join(broken.frame, ["source_file", "block"], "left")
+            large = large.withColumn(_ODD, F.when(F.col("start").isNull(), F.col(_ODD))).where("start is null").drop("start")
             whole = whole_records(lines, broken.frame, opts.sep, scratch, header=True)
         else:
             broken = None
