@@ -83,6 +83,17 @@ def test_separators_in_the_lines_of_a_cell(spark, write, size):
             assert cells_of(spark, [path], tsnorm.CsvOptions(long_rows="skip")) == plain(text, 2)
 
 
+def test_lines_of_broken_splits_are_shuffled_once(spark, write):
+    """Texts are not written to a table between and shuffled again; only what crosses splits meets a second time."""
+    path = write("q.csv", "t,a\n" + "".join(f'{i},"two\nlines {i}"\n' for i in range(200)))
+    with settings(spark, maxPartitionBytes="500b"):
+        scratch = Scratch(spark)
+        cells = scan.read_cells(spark, scan.read_headers(spark, [path], tsnorm.CsvOptions(), scratch), tsnorm.CsvOptions(), scratch)
+        assert sorted(r["_c1"] for r in cells.collect()) == sorted(f"two\nlines {i}" for i in range(200))
+        plan = cells._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan text") == 1 and "Scan parquet" not in plan and "ReusedExchange" in plan
+
+
 @pytest.mark.parametrize("sep", [",", ";", "\t"])
 def test_whether_a_line_ends_inside_a_cell(spark, sep):
     lines = ["a", '"a"', '"a', 'a"', '1;"a', '1; "a', '1;x"a', '""', '"""', '"a"";"b', '"a";"b', '"a" "b', 'b";"c', 'b"";"c', '";"', ";", '"a""']

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tsnorm.session import Scratch
-
 QUOTE = '"'
 
 
@@ -59,60 +57,68 @@ def effects(lines: DataFrame, sep: str) -> DataFrame:
 
 
 def broken_splits(lines: DataFrame, sep: str) -> DataFrame:
-    """Splits in which a line ends inside a quoted cell: ``source_file, block, start`` (1: the split begins in one).
+    """Splits in which a line ends inside a quoted cell: ``source_file, block, start, owner`` (start 1: the split begins in
+    one; owner: the last split before it in which a record begins).
 
     ``lines`` has ``source_file, block, row, line``, all lines of the files. One pass over them leaves a row for each split,
     with the effects of its lines that hold a quote.
     """
     quoted = F.contains(F.col("line"), F.lit(QUOTE))
     mark = F.when(quoted, F.struct("row", "from_outside", "from_inside"))
-    splits = effects(lines, sep).groupBy("source_file", "block").agg(F.sort_array(F.collect_list(mark)).alias("marks"))
+    splits = effects(lines, sep).groupBy("source_file", "block").agg(
+        F.sort_array(F.collect_list(mark)).alias("marks"), F.max("row").alias("last"))
 
     def through(inside: bool) -> Column:
-        start = F.struct(F.lit(inside).alias("open"), F.lit(inside).alias("broken"))
+        start = F.struct(F.lit(inside).alias("open"), F.lit(inside).alias("broken"), F.lit(not inside).alias("begun"))
 
         def step(a: Column, m: Column) -> Column:
             after = F.when(a["open"], m["from_inside"]).otherwise(m["from_outside"])
-            return F.struct(after.alias("open"), (a["broken"] | after).alias("broken"))
+            begun = a["begun"] | (~after & (m["row"] < F.col("last")))
+            return F.struct(after.alias("open"), (a["broken"] | after).alias("broken"), begun.alias("begun"))
 
         return F.aggregate("marks", start, step)
 
     splits = splits.select("source_file", "block", through(False).alias("a"), through(True).alias("b")).select(
         "source_file", "block", F.col("a.open").alias("from_outside"), F.col("b.open").alias("from_inside"),
-        F.col("a.broken").alias("broken"))
+        F.col("a.broken").alias("broken"), F.col("b.begun").alias("begun"))
     # one row a split
-    splits = with_state(splits, Window.partitionBy("source_file").orderBy("block"), F.lit(0))
-    return splits.where("broken or inside = 1").select("source_file", "block", F.col("inside").alias("start"))
+    by = Window.partitionBy("source_file").orderBy("block")
+    splits = with_state(splits, by, F.lit(0))
+    begins = F.when((F.col("inside") == 0) | F.col("begun"), F.col("block"))
+    owner = F.last(begins, ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    return splits.withColumn("owner", owner).where("broken or inside = 1").select(
+        "source_file", "block", F.col("inside").alias("start"), "owner")
 
 
-def whole_records(lines: DataFrame, broken: DataFrame, sep: str, scratch: Scratch, header: bool) -> DataFrame:
+def whole_records(lines: DataFrame, broken: DataFrame, sep: str, header: bool) -> DataFrame:
     """Records of the broken splits: ``source_file, block, row, line``, with line breaks in ``line``.
 
-    Only these splits are shuffled, each to one task. A record belongs to the split it begins in; what lies in later ones is joined to
-    it by the numbers of both, one row a split. With ``header`` the first record of each file is left out.
+    Only these splits are shuffled, once, each to one task. A record belongs to the split it begins in; of a split only the first and the
+    last piece are shuffled again, to be joined to those of other splits. With ``header`` the first record of each file is left out.
     """
     at = Window.partitionBy("source_file", "block").orderBy("row")
-    rows = effects(lines.join(broken, ["source_file", "block"]), sep)
+    rows = effects(lines.join(broken.select("source_file", "block", "start"), ["source_file", "block"]), sep)
     rows = with_state(rows, at, F.col("start"))
     begun = F.sum(1 - F.col("inside")).over(at.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pieces = rows.withColumn("record", begun).groupBy("source_file", "block", "record").agg(
         F.min("row").alias("row"), F.sort_array(F.collect_list(F.struct("row", "line"))).alias("lines"))
     text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
-    pieces = scratch.table(pieces.select("source_file", "block", "record", "row", text.alias("line")), "pieces")
-
-    ends = pieces.groupBy("source_file", "block").agg(F.max("record").alias("last"))
-    over = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    owner = F.last(F.when(F.col("last") > 0, F.struct(F.col("block").alias("block"), F.col("last").alias("record"))), ignorenulls=True).over(over)
-    ends = ends.select("source_file", "block", "last", owner.alias("owner"))
-    pieces = pieces.join(ends, ["source_file", "block"])
-    inner = pieces.where("record > 0 and record < last").select("source_file", "block", "record", "row", "line")
-    edge = pieces.where("record = 0 or record = last").withColumn(
-        "key", F.when(F.col("record") > 0, F.struct("block", "record")).otherwise(F.col("owner"))).where("key is not null")
-    edge = edge.groupBy("source_file", "key").agg(
-        F.min_by("row", "block").alias("row"), F.sort_array(F.collect_list(F.struct("block", "line"))).alias("lines"))
-    edge = edge.select("source_file", "key.block", "key.record", "row", text.alias("line"))
-    out = inner.unionByName(edge).where(F.trim("line") != "")
+    split = Window.partitionBy("source_file", "block")
+    pieces = pieces.select("source_file", "block", "record", "row", text.alias("line")).withColumn("last", F.max("record").over(split))
     if header:
-        first = out.where("block = 0").groupBy("source_file", "block").agg(F.min("record").alias("record"))
-        out = out.join(first, ["source_file", "block", "record"], "left_anti")
+        first = F.min(F.when((F.col("block") == 0) & (F.trim("line") != ""), F.col("record"))).over(split)
+        pieces = pieces.withColumn("left_out", F.coalesce(F.col("record") == first, F.lit(False)))
+    else:
+        pieces = pieces.withColumn("left_out", F.lit(False))
+
+    inner = pieces.where("record > 0 and record < last").select("source_file", "block", "row", "line", "left_out")
+    # both branches shuffle the same lines, so that is done once: owners are joined after it
+    owners = broken.select("source_file", "block", "owner")
+    edge = pieces.where("record = 0 or record = last").join(owners, ["source_file", "block"]).withColumn(
+        "key", F.when(F.col("record") > 0, F.col("block")).otherwise(F.col("owner"))).where("key is not null")
+    edge = edge.groupBy("source_file", "key").agg(
+        F.min_by("row", "block").alias("row"), F.sort_array(F.collect_list(F.struct("block", "line"))).alias("lines"),
+        F.max("left_out").alias("left_out"))
+    edge = edge.select("source_file", F.col("key").alias("block"), "row", text.alias("line"), "left_out")
+    out = inner.unionByName(edge).where((F.trim("line") != "") & ~F.col("left_out"))
     return out.select("source_file", "block", "row", "line")

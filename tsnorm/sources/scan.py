@@ -135,7 +135,7 @@ def scan_records(spark: SparkSession, files: Files, opts: CsvOptions, scratch: S
     broken = Small(broken_splits(physical, opts.sep), scratch, "broken")
     if broken.rows is not None and not broken.rows:
         return lines
-    whole = whole_records(physical, broken.frame, opts.sep, scratch, header=False)
+    whole = whole_records(physical, broken.frame, opts.sep, header=False)
     return lines.join(broken.frame, ["source_file", "block"], "left_anti").select(lines.columns).unionByName(whole.select(lines.columns))
 
 
@@ -210,8 +210,8 @@ def scan_cells(spark: SparkSession, files: Files, opts: CsvOptions, width: int,
         if broken is not None and (broken.rows is None or broken.rows):
             # not an anti join: the check for long rows would be pushed below it, to lines within quoted cells
             large = large.join(broken.frame, ["source_file", "block"], "left")
-            large = large.withColumn(_ODD, F.when(F.col("start").isNull(), F.col(_ODD))).where("start is null").drop("start")
-            whole = whole_records(lines, broken.frame, opts.sep, scratch, header=True)
+            large = large.withColumn(_ODD, F.when(F.col("start").isNull(), F.col(_ODD))).where("start is null").drop("start", "owner")
+            whole = whole_records(lines, broken.frame, opts.sep, header=True)
         else:
             broken = None
         parts.append(large)
