@@ -83,6 +83,16 @@ def test_separators_in_the_lines_of_a_cell(spark, write, size):
             assert cells_of(spark, [path], tsnorm.CsvOptions(long_rows="skip")) == plain(text, 2)
 
 
+def test_small_files_beside_one_that_is_split(spark, write):
+    """Splits get larger with the bytes of the files that are scanned: those looked through for quoted breaks are those that are read."""
+    texts = ["t,a\n" + "".join(f'{i},"{"x" * (i % 7)}\n\"\"{i}, {j},\n"\n' for i in range(n)) for j, n in enumerate((300, 20, 25, 1))]
+    paths = [write(f"q{j}.csv", text) for j, text in enumerate(texts)]
+    want = [r for text in texts for r in plain(text, 2)]
+    for size in ("128m", "512b"):
+        with settings(spark, maxPartitionBytes=size, openCostInBytes="1b"):
+            assert cells_of(spark, paths) == want
+
+
 def test_lines_of_broken_splits_are_shuffled_once(spark, write):
     """Texts are not written to a table between and shuffled again; only what crosses splits meets a second time."""
     path = write("q.csv", "t,a\n" + "".join(f'{i},"two\nlines {i}"\n' for i in range(200)))

@@ -113,17 +113,23 @@ def _positions() -> list[Column]:
     ]
 
 
-def scan_lines(spark: SparkSession, files: Files, opts: CsvOptions, header: bool) -> DataFrame:
+def _larger(scan: DataFrame, than: int) -> DataFrame:
+    """Of files of more bytes. Splits are as large as the files of a scan let them be, and a filter above a row id leaves no file
+    out: this one lies on the scan itself, so that every scan of these files has the same splits."""
+    return scan.where(F.col("_metadata.file_size") > than) if than >= 0 else scan
+
+
+def scan_lines(spark: SparkSession, files: Files, opts: CsvOptions, header: bool, larger: int = -1) -> DataFrame:
     """Whole lines that are not blank; with ``header`` the first one of each file is left out."""
     reader = _reader(spark, opts, header).options(sep=_NO_SEPARATOR, quote="")
-    return reader.schema("line string").csv(files.roots).select("line", *_positions()).where("line is not null")
+    return _larger(reader.schema("line string").csv(files.roots), larger).select("line", *_positions()).where("line is not null")
 
 
-def scan_physical_lines(spark: SparkSession, files: Files, opts: CsvOptions) -> DataFrame:
+def scan_physical_lines(spark: SparkSession, files: Files, opts: CsvOptions, larger: int = -1) -> DataFrame:
     """All lines as they are, blank ones included where the files are UTF-8."""
     if opts.spark_encoding.upper() not in ("UTF-8", "UTF8"):
-        return scan_lines(spark, files, opts, header=False)
-    return spark.read.text(files.roots).select(F.col("value").alias("line"), *_positions())
+        return scan_lines(spark, files, opts, header=False, larger=larger)
+    return _larger(spark.read.text(files.roots), larger).select(F.col("value").alias("line"), *_positions())
 
 
 def scan_records(spark: SparkSession, files: Files, opts: CsvOptions, scratch: Scratch) -> DataFrame:
@@ -203,9 +209,9 @@ def scan_cells(spark: SparkSession, files: Files, opts: CsvOptions, width: int,
         # the size is known of a file before it is opened, so others are not read
         parts.append(reader.option("multiLine", True).csv(files.roots).where(size <= limit).select("*", *_positions()))
     if files.largest > limit:
-        large = reader.option("multiLine", False).csv(files.roots).where(size > limit).select("*", *_positions())
+        large = _larger(reader.option("multiLine", False).csv(files.roots), limit).select("*", *_positions())
         if opts.quoted_breaks:
-            lines = scan_physical_lines(spark, files, opts).where(size > limit)
+            lines = scan_physical_lines(spark, files, opts, larger=limit)
             broken = Small(broken_splits(lines, opts.sep), scratch, "broken")
         if broken is not None and (broken.rows is None or broken.rows):
             # not an anti join: the check for long rows would be pushed below it, to lines within quoted cells
