@@ -93,6 +93,21 @@ def test_small_files_beside_one_that_is_split(spark, write):
             assert cells_of(spark, paths) == want
 
 
+@pytest.mark.parametrize("size", ["128m", "500b"])
+def test_rows_are_counted_without_their_cells(spark, write, size):
+    text = "t,a\n" + "".join(f'{i},"two\nlines {i}"\n' for i in range(40)) + "".join(f"{i},one\n" for i in range(300)) + "short\n"
+    path, long = write("q.csv", text), write("l.csv", text + "7,too,long\n")
+
+    def counted(at, **kw):
+        scratch, opts = Scratch(spark), tsnorm.CsvOptions(**kw)
+        return scan.read_cells(spark, scan.read_headers(spark, [at], opts, scratch), opts, scratch).count()
+
+    with settings(spark, maxPartitionBytes=size):
+        assert counted(path) == counted(path, quoted_breaks=size == "500b") == counted(long, long_rows="skip") == 341
+        with pytest.raises(Exception, match="a row of more than 2 cells in .*l.csv: 7,too,long"):
+            counted(long)
+
+
 def test_lines_of_broken_splits_are_shuffled_once(spark, write):
     """Texts are not written to a table between and shuffled again; only what crosses splits meets a second time."""
     path = write("q.csv", "t,a\n" + "".join(f'{i},"two\nlines {i}"\n' for i in range(200)))

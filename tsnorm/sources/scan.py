@@ -174,7 +174,9 @@ def parse_lines(lines: DataFrame, opts: CsvOptions, width: int, checked: bool =
 def _longer(opts: CsvOptions, width: int) -> Column:
     """The odd record if cells of it lie beyond the columns; rows may be short, and end in separators."""
     told = F.rtrim(F.col(_ODD), F.lit(opts.sep + " \t\r\n"))
-    return F.when(F.col(_ODD).isNotNull() & (field_count(told, opts.sep) > width), F.col(_ODD))
+    # adds 0: where rows are only counted, Spark would not read odd records without cells, nor find all of them by a few
+    read = F.least(F.length(F.concat_ws("", *[F.col(f"_c{i}") for i in range(width)])), F.lit(0))
+    return F.when(F.col(_ODD).isNotNull() & (field_count(told, opts.sep) + read > width), F.col(_ODD))
 
 
 def _without_long(cells: DataFrame, opts: CsvOptions, width: int) -> DataFrame:
